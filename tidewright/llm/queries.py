@@ -1,0 +1,29 @@
+"""Queries over the driver's tables, one for each operator of this subpackage."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewright.llm import language_id
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learn = docs.where(~language_id.held_out())
+    return language_id.detect_language(docs, learn).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
