@@ -6,7 +6,6 @@ import os
 import pickle
 import tempfile
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -43,13 +42,9 @@ def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
-def crc_of_id(doc_id: Column) -> Column:
-    """crc32 of the id's decimal text, as the folds of the queries use it."""
-    return F.crc32(doc_id.cast("string").cast("binary"))
-
-
-def crc_mod(values, m: int) -> np.ndarray:
-    return np.fromiter((zlib.crc32(str(v).encode()) % m if v is not None else -1 for v in values), np.int64, len(values))
+def in_fold(folds: int, part: int) -> Column:
+    """Whether crc32 of doc_id's decimal text leaves this remainder; a null id is in no fold."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == part, F.lit(False))
 
 
 def utf8_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

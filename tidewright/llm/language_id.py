@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import LOWER, crc_of_id, ship, utf8_view
+from tidewright.llm.common import LOWER, ship, utf8_view
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -176,6 +176,3 @@ def detect_language(docs: DataFrame, labelled: DataFrame, docs_per_lang: int = 2
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
 
-
-def held_out(fold: int = 5, part: int = 0):
-    return F.coalesce(F.pmod(crc_of_id(F.col("doc_id")), F.lit(fold)) == part, F.lit(False))

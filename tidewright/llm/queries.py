@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, language_id, ogg_media
+from tidewright.llm import chat_trees, language_id, ogg_media, toxicity
+from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,8 +26,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    learn = docs.where(~language_id.held_out())
-    return language_id.detect_language(docs, learn).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    learn = docs.where(~in_fold(5, 0))
+    return language_id.detect_language(docs, learn).select("doc_id", in_fold(5, 0).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
 @query
@@ -40,3 +41,10 @@ def op10_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     paths = chat_trees.best_paths(chat_trees.threads(rows))
     return chat_trees.digest_formatted(chat_trees.format_paths(paths)).withColumnRenamed("tree", "conv_id")
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(~in_fold(3, 1)))
+    return toxicity.score_toxicity(docs, model).withColumn("held_out", in_fold(3, 1))
