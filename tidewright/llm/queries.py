@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, language_id, ogg_media, toxicity
+from tidewright.llm import chat_trees, decontaminate, language_id, ogg_media, toxicity
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,30 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.learn(docs, labels.where(~in_fold(3, 1)))
     return toxicity.score_toxicity(docs, model).withColumn("held_out", in_fold(3, 1))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest_hits(decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+ORACLES["op3_decontaminate"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT k FROM win
+), place AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, sizes WHERE len(w) >= k)
+), hit AS (SELECT p.doc_id, p.i, p.k, win.item_id FROM place p JOIN win ON p.k = win.k AND p.s = win.s
+), word AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hit) GROUP BY 1
+), found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -177,3 +177,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.encode(F.col("text").cast("string"), "UTF-8").alias("text")).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs whose text scores below the threshold, with all their columns; nothing is shuffled."""
+    shared = ship(docs.sparkSession, model)
+    at = docs.schema.fieldNames().index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared()
+        distance = Distance(m.toxic, m.ordinary) if m else None
+        for batch in batches:
+            yield batch if m is None else batch.filter(pa.array([m.score(distance, (t.as_py() or "").encode()) < threshold for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
