@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, language_id, ogg_media, toxicity
+from tidewright.llm import chat_trees, decontaminate, language_id, ogg_media, subword, toxicity
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+
+@query
+def op5_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.encode_texts(table(spark, sf_dir, "documents"))
