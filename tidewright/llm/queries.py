@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, language_id, ogg_media, subword, toxicity
+from tidewright.llm import chat_trees, decontaminate, language_id, near_dedup, ogg_media, subword, toxicity
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
 @query
 def op5_subword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.encode_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.NearDup(words=2))
