@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, near_dedup, ogg_media, subword, toxicity
+from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, subword, toxicity
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,10 @@ def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = {c: kd_sharding.category(c) for c in ("lang", "source")}
     placed = kd_sharding.kd_shards(table(spark, sf_dir, "documents"), dims, n_shards=16)
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int"), "shard": F.col("shard").cast("int"), "slot": F.col("slot").cast("long")})
+
+
+@query
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = docs.where(~in_fold(10, 0) & F.col("doc_id").isNotNull())
+    return lattice_lm.score_texts(docs, learn).withColumn("held_out", in_fold(10, 0))
