@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, subword, toxicity
+from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, repeat_removal, subword, toxicity
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = docs.where(~in_fold(10, 0) & F.col("doc_id").isNotNull())
     return lattice_lm.score_texts(docs, learn).withColumn("held_out", in_fold(10, 0))
+
+
+@query
+def op9_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_removal.digest_repeats(repeat_removal.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
