@@ -222,6 +222,20 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
+    """The rows of docs, all columns, that near_duplicates() keeps; of rows that repeat a doc_id one stays."""
+    columns = docs.columns
+    found = near_duplicates(docs.select("doc_id", "text"), p)
+    facts = materialize(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_n")).where("not _kept or _n > 1"), "verdicts")
+    n = facts.count()
+    facts = F.broadcast(facts) if n <= p.broadcast_ids else facts
+    judged = docs.join(facts, docs["doc_id"].cast("long") == F.col("_id"), "left").where(F.coalesce("_kept", F.lit(True)))
+    if facts.where("_kept").isEmpty():
+        return judged.select(*columns)
+    once = judged.where(F.coalesce("_n", F.lit(1)) == 1)
+    return once.unionByName(judged.where("_n > 1").dropDuplicates(["_id"])).select(*columns)
+
+
 def _links(source: DataFrame, members: DataFrame, p: NearDup) -> DataFrame | None:
     """Verified links between class representatives that connect all that any bucket's verified pairs connect."""
     ids = members.select(F.col("rep").alias("_id")).distinct()
