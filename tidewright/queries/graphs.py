@@ -8,32 +8,32 @@ from pyspark.sql import functions as F
 from tidewright.operators import graph as G
 from tidewright.queries.registry import query, table
 
-EDGES = "e AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber WHERE a.l_orderkey < 300 AND a.l_partkey <> b.l_partkey)"
+EDGES = "e AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber WHERE a.l_partkey <> b.l_partkey), s AS (SELECT p_partkey AS node FROM part WHERE p_size = 11)"
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
-    l = table(spark, d, "lineitem").where("l_orderkey < 300")
+    l = table(spark, d, "lineitem")
     a = l.select("l_orderkey", F.col("l_partkey").alias("src"), F.col("l_linenumber").alias("n"))
     b = l.select("l_orderkey", F.col("l_partkey").alias("dst"), F.col("l_linenumber").alias("m"))
     return a.join(b, "l_orderkey").where("n < m and src <> dst").select("src", "dst").distinct()
 
 
 def seeds(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").where("p_partkey % 97 = 0").select(F.col("p_partkey").alias("node"))
+    return table(spark, d, "part").where("p_size = 11").select(F.col("p_partkey").alias("node"))
 
 
-@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT p_partkey AS node FROM part WHERE p_partkey % 97 = 0 UNION SELECT dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r")
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT node FROM s UNION SELECT dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r")
 def dep_closure(spark: SparkSession, d: str) -> DataFrame:
     return G.closure(seeds(spark, d), edges(spark, d)).select("node")
 
 
-@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT p_partkey AS node FROM part WHERE p_partkey % 97 = 0 UNION SELECT dst FROM r JOIN e ON e.src = r.node) SELECT src, dst FROM e WHERE src IN (SELECT node FROM r)")
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT node FROM s UNION SELECT dst FROM r JOIN e ON e.src = r.node) SELECT src, dst FROM e WHERE src IN (SELECT node FROM r)")
 def dep_tree_edges(spark: SparkSession, d: str) -> DataFrame:
     return G.dependency_tree(seeds(spark, d), edges(spark, d)).select("src", "dst")
 
 
 def _pagerank_sql(rounds: int) -> str:
-    sql = f"WITH {EDGES}, n0 AS (SELECT src AS node FROM e UNION SELECT dst FROM e UNION SELECT p_partkey FROM part WHERE p_partkey % 97 = 0), n AS (SELECT node, CASE WHEN node % 97 = 0 THEN 1.0 / (SELECT count(*) FROM part WHERE p_partkey % 97 = 0) ELSE 0 END AS p, (SELECT count(*) FROM e WHERE src = node) AS deg FROM n0), r0 AS (SELECT node, p, deg, 1.0::DOUBLE / (SELECT count(*) FROM n0) AS x FROM n)"
+    sql = f"WITH {EDGES}, n0 AS (SELECT src AS node FROM e UNION SELECT dst FROM e UNION SELECT node FROM s), n AS (SELECT node, CASE WHEN node IN (SELECT node FROM s) THEN 1.0 / (SELECT count(*) FROM s) ELSE 0 END AS p, coalesce(deg, 0) AS deg FROM n0 LEFT JOIN (SELECT src, count(*) AS deg FROM e GROUP BY 1) ON src = node), r0 AS (SELECT node, p, deg, 1.0::DOUBLE / (SELECT count(*) FROM n0) AS x FROM n)"
     for i in range(rounds):
         sql += f", g{i} AS (SELECT dst AS node, sum(x / deg) AS got FROM e JOIN r{i} ON node = src GROUP BY 1), r{i + 1} AS (SELECT r.node, p, deg, 0.85 * (coalesce(got, 0) + (SELECT coalesce(sum(x), 0) FROM r{i} WHERE deg = 0) * p) + 0.15 * p AS x FROM r{i} r LEFT JOIN g{i} USING (node))"
     return sql + f" SELECT node, round(x, 6) AS rank FROM r{rounds}"
@@ -59,26 +59,26 @@ def edge_contraction(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE i AS (SELECT c_custkey AS k, 'e' || (c_custkey % 400)::VARCHAR AS a, 'n' || floor(c_acctbal)::BIGINT::VARCHAR AS b FROM customer WHERE c_custkey < 600),
+WITH RECURSIVE i AS (SELECT c_custkey AS k, 'e' || (c_custkey // 3)::VARCHAR AS a, 'n' || floor(c_acctbal)::BIGINT::VARCHAR AS b FROM customer),
 l AS (SELECT x.k AS src, y.k AS dst FROM i x JOIN i y ON x.a = y.a OR x.b = y.b), r AS (SELECT k AS node, k AS seen FROM i UNION SELECT r.node, l.dst FROM r JOIN l ON l.src = r.seen)
 SELECT node, min(seen) AS label FROM r GROUP BY 1
 """)
 def identity_components(spark: SparkSession, d: str) -> DataFrame:
     """Contributors that share an address or a full name are one: each name is a star around its smallest holder."""
-    c = table(spark, d, "customer").where("c_custkey < 600")
-    tags = c.select(F.col("c_custkey").alias("node"), F.explode(F.array(F.concat(F.lit("e"), (F.col("c_custkey") % 400).cast("string")), F.concat(F.lit("n"), F.floor("c_acctbal").cast("string")))).alias("tag"))
+    c = table(spark, d, "customer")
+    tags = c.select(F.col("c_custkey").alias("node"), F.explode(F.array(F.concat(F.lit("e"), F.floor(F.col("c_custkey") / 3).cast("string")), F.concat(F.lit("n"), F.floor("c_acctbal").cast("string")))).alias("tag"))
     hub = tags.groupBy("tag").agg(F.min("node").alias("dst"))
     star = tags.join(hub, "tag").where("node <> dst").select(F.col("node").alias("src"), "dst")
     return G.components(star, c.select(F.col("c_custkey").alias("node")))
 
 
 @query("""
-WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey AS alias FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey < 400 AND l_quantity > 25),
+WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey * 100000 + l_suppkey AS alias FROM lineitem WHERE l_returnflag = 'R'),
 l AS (SELECT x.id AS src, y.id AS dst FROM v x JOIN v y ON x.alias = y.alias), r AS (SELECT id AS node, id AS seen FROM v UNION SELECT r.node, l.dst FROM r JOIN l ON l.src = r.seen), g AS (SELECT node, min(seen) AS canonical FROM r GROUP BY 1)
 SELECT canonical, count(*)::BIGINT AS ids, min(o_orderdate) AS published FROM g JOIN orders ON node = o_orderkey GROUP BY 1
 """)
 def vuln_alias_components(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "lineitem").where("l_returnflag = 'R' and l_orderkey < 400 and l_quantity > 25").select(F.col("l_orderkey").alias("node"), F.col("l_partkey").alias("alias")).distinct()
+    v = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("node"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("alias")).distinct()
     hub = v.groupBy("alias").agg(F.min("node").alias("dst"))
     found = G.components(v.join(hub, "alias").where("node <> dst").select(F.col("node").alias("src"), "dst"), v.select("node"))
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), "o_orderdate")
