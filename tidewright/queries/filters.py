@@ -116,7 +116,7 @@ def all_years_division(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT s_suppkey, (s_acctbal > 0 AND s_nationkey <> 3) AS active, CASE WHEN s_nationkey % 3 = 0 THEN 0.0 WHEN s_acctbal > 5000 THEN 0.5 ELSE 1.0 END AS backing FROM supplier
+SELECT s_suppkey, (s_acctbal > 0 AND s_nationkey <> 3) AS active, (CASE WHEN s_nationkey % 3 = 0 THEN 0.0 WHEN s_acctbal > 5000 THEN 0.5 ELSE 1.0 END)::DOUBLE AS backing FROM supplier
 """)
 def active_and_backing(spark: SparkSession, d: str) -> DataFrame:
     owner = F.when(F.col("s_nationkey") % 3 == 0, "company").otherwise("none")
