@@ -42,6 +42,24 @@ def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """For functions of mapInArrow: a task that ends gives its memory back, since its worker lives on for later tasks."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: nothing to trim
+            pass
+
+    return wrapped
+
+
 def in_fold(folds: int, part: int) -> Column:
     """Whether crc32 of doc_id's decimal text leaves this remainder; a null id is in no fold."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == part, F.lit(False))

@@ -1,4 +1,4 @@
-"""Connected components by min-label exchange with pointer jumping, all distributed."""
+"""Connected components by contraction, all distributed."""
 
 from __future__ import annotations
 
@@ -11,23 +11,24 @@ from tidewright.llm.common import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b); label is the component's smallest node.
 
-    Each round gives a node the least label around it and then that label's own
-    label, so that chains shrink by halves. Edges between nodes that already
-    share a label are dropped. Nulls are no nodes; no edges give no rows.
+    Each round every node joins the neighbour of least hash (or stays, if that is
+    itself), edges move to the new nodes, and those within one node or seen twice
+    go. The hash changes each round, so that a chain shrinks by a constant
+    factor whatever its order, and the edges of a dense group collapse at once.
+    Nulls are no nodes; no edges give no rows.
     """
-    edges = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select("a", "b")
-    both = materialize(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        of = labels.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        jumped = labels.join(of, F.col("label") == F.col("_n")).select("node", F.col("_l").alias("label"))
-        jumped = materialize(jumped, "labels")
-        of = jumped.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        heard = both.join(of, F.col("b") == F.col("_n")).groupBy(F.col("a").alias("_a")).agg(F.min("_l").alias("_heard"))
-        # what a node hears is told to its label too, which all its followers then read
-        told = heard.join(of, F.col("_a") == F.col("_n")).select(F.explode(F.array_distinct(F.array("_a", "_l"))).alias("_a"), "_heard").groupBy("_a").agg(F.min("_heard").alias("_heard"))
-        after = jumped.join(told, F.col("node") == F.col("_a"), "left").select("node", F.least("label", "_heard").alias("label"), (F.coalesce("_heard", "label") < F.col("label")).alias("changed"))
-        after = materialize(after, "labels")
-        labels = after.select("node", "label")
-        if after.where("changed").isEmpty():
-            return labels
+    edges = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
+    edges = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = materialize(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    turn = 0
+    while not edges.isEmpty():
+        turn += 1
+        first, second = (F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("to")) for c in ("a", "b"))
+        best = edges.select(F.least(first, second).alias("p"), F.explode(F.array("a", "b")).alias("_n"))
+        parents = best.groupBy("_n").agg(F.min("p").alias("p")).select("_n", F.col("p.to").alias("_to"))
+        parents = materialize(parents, "parents")
+        labels = materialize(labels.join(parents, F.col("label") == F.col("_n"), "left").select("node", F.coalesce("_to", "label").alias("label")), "labels")
+        moved = edges.join(parents.select(F.col("_n").alias("a"), F.col("_to").alias("_a")), "a").join(parents.select(F.col("_n").alias("b"), F.col("_to").alias("_b")), "b")
+        edges = materialize(moved.where("_a != _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges")
+    least = labels.groupBy("label").agg(F.min("node").alias("_least"))
+    return materialize(labels.join(least, "label").select("node", F.col("_least").alias("label")), "labels")

@@ -7,7 +7,7 @@ one element are correlated, which lowers the estimate's variance.
 
 Equal sets become one class first. Signatures are cut into bands; in a bucket of
 classes that agree on a band, every class is paired with one pivot that a hash
-of the bucket chooses, so that a large group meets many pivots over its bands
+chooses, so that a large group meets several pivots over its bands
 and gives a number of pairs in proportion to its size. Pairs are verified on the
 full sets of words. Buckets that still hold several components are then
 compared across components, so that every candidate pair is either verified or
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import LOWER, Rolling, materialize, mix64, spans_of, utf8_view, word_bounds
+from tidewright.llm.common import LOWER, Rolling, materialize, mix64, spans_of, tidy, utf8_view, word_bounds
 from tidewright.llm.components import connected_components
 
 
@@ -139,6 +139,13 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def sign_bits(signatures: np.ndarray) -> np.ndarray:
+    """One bit of each register, packed into longs (sets x words)."""
+    bits = (mix64(signatures) & np.uint64(1)).astype(np.uint8)
+    pad = -bits.shape[1] % 64
+    return np.packbits(np.pad(bits, ((0, 0), (0, pad))), axis=1).view(np.int64)
+
+
 def sketch(docs: DataFrame, p: NearDup) -> DataFrame:
     """doc_id, n_shingles, fingerprint of the set (two longs) and band keys of every row."""
 
@@ -152,11 +159,14 @@ def sketch(docs: DataFrame, p: NearDup) -> DataFrame:
                 with np.errstate(over="ignore"):
                     sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(elements + np.uint64(s)), dtype=np.uint64)]) for s in (1, 2)]
                     fps = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
-                keys = band_keys(super_minhash(elements, at, p.bands * p.rows, p.seed), p.bands, p.rows).view(np.int64)
+                signatures = super_minhash(elements, at, p.bands * p.rows, p.seed)
+                keys = band_keys(signatures, p.bands, p.rows).view(np.int64)
+                signs = sign_bits(signatures)
+                cuts = np.arange(0, signs.size + 1, signs.shape[1], dtype=np.int32)
                 ends = np.arange(0, keys.size + 1, p.bands, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(at).astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1)))], ["doc_id", "n_shingles", "fp_a", "fp_b", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(at).astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signs.reshape(-1)))], ["doc_id", "n_shingles", "fp_a", "fp_b", "keys", "signs"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, fp_a long, fp_b long, keys array<long>")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "doc_id long, n_shingles long, fp_a long, fp_b long, keys array<long>, signs array<long>")
 
 
 def shingle_set(text: bytes, k: int) -> frozenset:
@@ -173,21 +183,24 @@ def verify(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, frozenset] = {}
+        held = 0
         for batch in batches:
             mask = []
             for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
                 sets = []
                 for text in (x.as_py(), y.as_py()):
                     if text not in kept:
-                        if len(kept) > 200:
+                        if held > 100_000:
                             kept.clear()
+                            held = 0
                         kept[text] = shingle_set(text, p.words)
+                        held += len(kept[text])
                     sets.append(kept[text])
                 both = len(sets[0] & sets[1])
                 mask.append(100 * both >= p.percent * (len(sets[0]) + len(sets[1]) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(mask, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _ordered(x, y):
@@ -209,11 +222,11 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     usable = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = materialize(usable.groupBy("fp_a", "fp_b").agg(F.min("doc_id").alias("rep")), "classes")
     mine = reps.select(F.col("fp_a").alias("_a"), F.col("fp_b").alias("_b"), "rep")
-    own = usable.join(mine, (F.col("fp_a") == F.col("_a")) & (F.col("fp_b") == F.col("_b")) & (F.col("doc_id") == F.col("rep")), "left_semi")
-    buckets = own.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
+    facts = usable.join(mine, (F.col("fp_a") == F.col("_a")) & (F.col("fp_b") == F.col("_b")) & (F.col("doc_id") == F.col("rep")), "left_semi")
+    buckets = facts.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = materialize(buckets.join(shared, "key").select("key", "rep").distinct(), "buckets")
-    edges = _links(source, members, p)
+    edges = _links(source, members, facts.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "signs"), p)
     labels = connected_components(edges) if edges is not None else None
     owner = reps if labels is None else reps.join(labels, F.col("rep") == F.col("node"), "left").select("fp_a", "fp_b", F.coalesce("label", "rep").alias("rep"))
     owner = owner.select(F.col("fp_a").alias("_a"), F.col("fp_b").alias("_b"), F.col("rep").alias("_owner"))
@@ -236,7 +249,16 @@ def keep_one(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     return once.unionByName(judged.where("_n > 1").dropDuplicates(["_id"])).select(*columns)
 
 
-def _links(source: DataFrame, members: DataFrame, p: NearDup) -> DataFrame | None:
+def _may_link(p: NearDup):
+    """Join condition on size, signs and _size, _signs: sets of sizes too different cannot link; of a pair that
+    links, a tenth of all signs is expected to differ at most, and six and a half deviations more are let pass."""
+    n = p.bands * p.rows
+    miss = (100 - p.percent) / 200
+    differ = sum((F.bit_count(F.col("signs")[i].bitwiseXOR(F.col("_signs")[i])) for i in range(-(-n // 64))), F.lit(0))
+    return (100 * F.least("size", "_size") >= p.percent * F.greatest("size", "_size")) & (differ <= n * miss + 6.5 * (n * miss * (1 - miss)) ** 0.5)
+
+
+def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup) -> DataFrame | None:
     """Verified links between class representatives that connect all that any bucket's verified pairs connect."""
     ids = members.select(F.col("rep").alias("_id")).distinct()
     n_ids = ids.count()
@@ -245,19 +267,20 @@ def _links(source: DataFrame, members: DataFrame, p: NearDup) -> DataFrame | Non
     texts = source.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("doc_id") == F.col("_id"), "left_semi")
     texts = materialize(texts.select("doc_id", F.encode("text", "UTF-8").alias("text")), "texts")
     tried = edges = None
-    open_members = members.withColumn("label", F.col("rep"))
+    facts = materialize(facts.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("rep") == F.col("_id"), "left_semi"), "facts")
+    open_members = members.withColumn("label", F.col("rep")).join(facts, "rep")
     for turn in range(p.pivot_rounds + 1):
         last = turn == p.pivot_rounds
         if turn:
             sizes = open_members.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
             crossing = sizes.select(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
             last |= (crossing["pairs"] or 0) <= max(1_000_000, 8 * (crossing["members"] or 0))
-        other = open_members.select("key", F.col("rep").alias("_rep"), F.col("label").alias("_label"))
+        other = open_members.select("key", F.col("rep").alias("_rep"), F.col("label").alias("_label"), F.col("size").alias("_size"), F.col("signs").alias("_signs"))
         if last:
-            pairs = open_members.join(other, "key").where((F.col("label") != F.col("_label")) & (F.col("rep") < F.col("_rep")))
+            pairs = open_members.join(other, "key").where((F.col("label") != F.col("_label")) & (F.col("rep") < F.col("_rep")) & _may_link(p))
         else:
-            pivot = other.groupBy("key").agg(F.min_by(F.struct("_rep", "_label"), F.xxhash64("_rep", "key", F.lit(turn))).alias("_pivot")).select("key", "_pivot.*")
-            pairs = open_members.join(pivot, "key").where(F.col("label") != F.col("_label"))
+            pivot = other.groupBy("key").agg(F.min_by(F.struct("_rep", "_label", "_size", "_signs"), F.xxhash64("_rep", F.lit(turn))).alias("_pivot")).select("key", "_pivot.*")
+            pairs = open_members.join(pivot, "key").where((F.col("label") != F.col("_label")) & _may_link(p))
         pairs = pairs.select(*_ordered(F.col("rep"), F.col("_rep"))).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
@@ -268,7 +291,8 @@ def _links(source: DataFrame, members: DataFrame, p: NearDup) -> DataFrame | Non
         if last:
             return edges
         labels = connected_components(edges)
+        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))  # connects the same with fewer edges
         labelled = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
         split = labelled.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key")
-        open_members = materialize(labelled.join(split, "key", "left_semi"), "open")
+        open_members = materialize(labelled.join(split, "key", "left_semi").join(facts, "rep"), "open")
     return edges
