@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import Rolling, materialize, mix64, spans_of, utf8_view
+from tidewright.llm.common import Rolling, materialize, mix64, spans_of, tidy, utf8_view
 from tidewright.llm.suffix_array import equal_runs, suffix_order
 
 
@@ -36,8 +36,8 @@ from tidewright.llm.suffix_array import equal_runs, suffix_order
 class Repeats:
     length: int = 50
     gram: int = 19
-    anchors_in_bucket: int = 1_500_000
-    flush_bytes: int = 24 << 20
+    anchors_in_bucket: int = 1_000_000
+    flush_bytes: int = 8 << 20
     broadcast_ids: int = 4_000_000
 
     @property
@@ -91,7 +91,7 @@ def _texts(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.R
             yield batch.slice(lo, hi - lo), data, off[lo : hi + 1], lo, hi
 
 
-def _pieces(data: np.ndarray, off: np.ndarray, p: Repeats, rolling: Rolling, at_once: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pieces(data: np.ndarray, off: np.ndarray, p: Repeats, rolling: Rolling, at_once: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """anchors() over texts, a bounded number of bytes at once; places are those in data. Long texts are cut with overlap at window bounds."""
     lo = 0
     n = len(off) - 1
@@ -100,8 +100,8 @@ def _pieces(data: np.ndarray, off: np.ndarray, p: Repeats, rolling: Rolling, at_
         while hi < n and off[hi + 1] - off[lo] <= at_once:
             hi += 1
         a, b = int(off[lo]), int(off[hi])
-        for c in range(a, max(b, a + 1), 8 * at_once):
-            d = min(b, c + 8 * at_once + p.length - 1)
+        for c in range(a, max(b, a + 1), 16 * at_once):
+            d = min(b, c + 16 * at_once + p.length - 1)
             first, last, h = anchors(data[c:d], off[lo:hi] - c if c == a else np.zeros(0, np.int64), p, rolling)
             yield first + c, last + c, h
         lo = hi
@@ -167,8 +167,64 @@ def _in_two_docs(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.repeat(differ, np.diff(np.append(new, len(h))))
 
 
-def _shared_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed anchors of whole buckets to (doc_id, fp, places): where each document has shared anchors."""
+PACKED = "bucket int, doc binary, fp binary, lo binary, hi binary"
+
+
+def _pack_by_doc(doc: np.ndarray, fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, n_buckets: int) -> pa.RecordBatch:
+    """Spans of documents as a few packed rows, by a bucket of the document: a row for each document would cost more than its content."""
+    bucket = (mix64(doc.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.lexsort((lo, fp, doc, bucket))
+    b = bucket[order]
+    cuts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]])) if len(b) else np.zeros(1, np.int64)
+    rows = []
+    for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        c = order[x:y]
+        rows.append((int(b[x]), _planes(doc[c]), _planes(fp[c]), _planes(lo[c]), _planes(hi[c])))
+    kinds = (pa.int32(), *[pa.binary()] * 4)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "doc", "fp", "lo", "hi"])
+
+
+def _spans_by_doc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed spans of whole buckets to (doc_id, fp, runs): start, end, start, end, ..., sorted and joined where they overlap."""
+    columns: list[list] = [[] for _ in range(4)]
+    for batch in batches:
+        for row in batch.to_pylist():
+            for column, name in zip(columns, ("doc", "fp", "lo", "hi"), strict=True):
+                column.append(_unplanes(row[name], np.int64))
+    if not columns[0]:
+        return
+    doc, fp, lo, hi = map(np.concatenate, columns)
+    order = np.lexsort((lo, fp, doc))
+    doc, fp, lo, hi = doc[order], fp[order], lo[order], hi[order]
+    first = np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])])
+    group = np.cumsum(first)
+    # a span starts a new run if it begins after everything before it in its document has ended
+    wide = int(hi.max()) + 1
+    reach = np.maximum.accumulate(group * wide + hi)
+    start = first.copy()
+    start[1:] |= group[1:] * wide + lo[1:] > reach[:-1]
+    s = np.flatnonzero(start)
+    runs = np.stack([lo[s], (reach - group * wide)[np.append(s[1:], len(lo)) - 1]], 1).reshape(-1)
+    new = np.flatnonzero(first[s])
+    for i in range(0, len(new), 50_000):
+        some = new[i : i + 50_000]
+        end = new[i + 50_000] if i + 50_000 < len(new) else len(s)
+        cut = 2 * (np.append(some, end) - some[0])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[s[some]]), pa.array(fp[s[some]]), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(runs[2 * some[0] : 2 * end]))], ["doc_id", "fp", "runs"])
+
+
+def _shared_places(n_buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _find_shared(batches)
+        if found is not None:
+            doc, fp, at = found
+            yield _pack_by_doc(doc, fp, at.astype(np.int64), at.astype(np.int64) + 1, n_buckets)
+
+    return run
+
+
+def _find_shared(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Packed anchors of whole buckets to (document, fp, place) of those that two documents share."""
     keys, docs, fps, places, known = [], [], [], [], []
     for batch in batches:
         for row in batch.to_pylist():
@@ -180,23 +236,19 @@ def _shared_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             places.append(_unplanes(row["at"], np.int32))
             known.append(np.full(len(doc), bool(row["known"])))
     if not keys:
-        return
+        return None
     h, doc, fp, at, sure = (np.concatenate(x) for x in (keys, docs, fps, places, known))
     del keys, docs, fps, places, known
     open_ = np.flatnonzero(~sure)
     open_ = open_[np.argsort(h[open_], kind="stable")]
     sure[open_[_in_two_docs(h[open_], doc[open_])]] = True
-    doc, fp, at = doc[sure], fp[sure], at[sure]
-    order = np.lexsort((at, fp, doc))
-    doc, fp, at = doc[order], fp[order], at[order]
-    if not len(doc):
-        return
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
-    for lo in range(0, len(new), 50_000):
-        some = new[lo : lo + 50_000]
-        end = new[lo + 50_000] if lo + 50_000 < len(new) else len(doc)
-        cut = np.append(some, end) - some[0]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(fp[some]), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(at[some[0] : end]))], ["doc_id", "fp", "places"])
+    return doc[sure], fp[sure], at[sure]
+
+
+def _places(runs: np.ndarray) -> np.ndarray:
+    """Every place in runs of places."""
+    lo, n = runs[::2], runs[1::2] - runs[::2]
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 def _context_rows(n_buckets: int, p: Repeats):
@@ -209,7 +261,7 @@ def _context_rows(n_buckets: int, p: Repeats):
         for part, data, off, _, _ in _texts(batches, p.flush_bytes):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             fps = part.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
-            wanted = np.concatenate([np.zeros(0, np.int64), *(np.asarray(x, np.int64) + o for x, o in zip((np.unique(np.asarray(v.values)) for v in part.column("places")), off[:-1], strict=True))])
+            wanted = np.concatenate([np.zeros(0, np.int64), *(_places(np.asarray(v.values)) + o for v, o in zip(part.column("places"), off[:-1], strict=True))])
             for first, last, h in _pieces(data, off, p, rolling):
                 hit = np.isin(first, wanted)
                 first, last, h = first[hit], last[hit], h[hit]
@@ -251,8 +303,8 @@ def _pack_contexts(held: list[tuple], n_buckets: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "known", "h", "doc", "fp", "at", "size", "body"])
 
 
-def _removable(p: Repeats, sort_bytes: int = 1 << 20):
-    """Packed contexts of whole buckets to (doc_id, fp, runs): start, end, start, end, ... of removable bytes."""
+def _removable(n_buckets: int, p: Repeats, sort_bytes: int = 1 << 19):
+    """Packed contexts of whole buckets to packed spans of removable bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[] for _ in range(5)]
@@ -281,16 +333,7 @@ def _removable(p: Repeats, sort_bytes: int = 1 << 20):
                 spans += _sort_and_compare(body, begin, size, doc, fp, at, order[a:b], p)
         if not spans:
             return
-        doc, fp, lo, hi = (np.concatenate(x) for x in zip(*spans, strict=True))
-        order = np.lexsort((lo, fp, doc))
-        doc, fp, lo, hi = doc[order], fp[order], lo[order], hi[order]
-        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
-        runs = np.stack([lo, hi], 1).reshape(-1)
-        for i in range(0, len(new), 50_000):
-            some = new[i : i + 50_000]
-            end = new[i + 50_000] if i + 50_000 < len(new) else len(doc)
-            cut = 2 * (np.append(some, end) - some[0])
-            yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(fp[some]), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(runs[2 * some[0] : 2 * end]))], ["doc_id", "fp", "runs"])
+        yield _pack_by_doc(*(np.concatenate(x) for x in zip(*spans, strict=True)), n_buckets)
 
     return run
 
@@ -374,13 +417,15 @@ def find_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
     flagged = marked.join(copied, ["_fp", "_fp2"], "left").withColumn("_copy", F.coalesce(F.col("_id") > F.col("_least"), F.lit(False)))
     texts = flagged.where(~F.col("_copy") & (F.col("_n") >= p.length)).select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp"), F.encode("_text", "UTF-8").alias("text"))
     n_buckets = max(12, -(-int(total) // (16 * p.anchors_in_bucket)))
-    packed = texts.mapInArrow(_anchor_rows(n_buckets, p), "bucket int, known int, h binary, doc binary, fp binary, at binary")
-    places = packed.repartition(n_buckets, "bucket").mapInArrow(_shared_places, "doc_id long, fp long, places array<int>")
-    places = places.groupBy("doc_id", "fp").agg(F.flatten(F.collect_list("places")).alias("places"))
+    packed = texts.mapInArrow(tidy(_anchor_rows(n_buckets, p)), "bucket int, known int, h binary, doc binary, fp binary, at binary")
+    by_doc = "doc_id long, fp long, runs array<long>"
+    places = packed.repartition(n_buckets, "bucket").mapInArrow(tidy(_shared_places(n_buckets)), PACKED)
+    places = places.repartition(n_buckets, "bucket").mapInArrow(tidy(_spans_by_doc), by_doc).withColumnRenamed("runs", "places")
     involved = texts.join(places.withColumnsRenamed({"doc_id": "_d", "fp": "_f"}), (F.col("doc_id") == F.col("_d")) & (F.col("fp") == F.col("_f"))).select("doc_id", "fp", "text", "places")
-    contexts = involved.mapInArrow(_context_rows(n_buckets, p), "bucket int, known int, h binary, doc binary, fp binary, at binary, size binary, body binary")
-    runs = contexts.repartition(n_buckets, "bucket").mapInArrow(_removable(p), "doc_id long, fp long, runs array<long>")
-    runs = materialize(runs.groupBy("doc_id", "fp").agg(F.flatten(F.collect_list("runs")).alias("_runs")), "runs")
+    contexts = involved.mapInArrow(tidy(_context_rows(n_buckets, p)), "bucket int, known int, h binary, doc binary, fp binary, at binary, size binary, body binary")
+    runs = contexts.repartition(n_buckets, "bucket").mapInArrow(tidy(_removable(n_buckets, p)), PACKED)
+    runs = runs.repartition(n_buckets, "bucket").mapInArrow(tidy(_spans_by_doc), by_doc)
+    runs = materialize(runs.withColumnRenamed("runs", "_runs"), "runs")
     found = flagged.join(runs.withColumnsRenamed({"doc_id": "_d", "fp": "_f"}), (F.col("_id") == F.col("_d")) & (F.col("_fp") == F.col("_f")), "left")
     return found.select(F.col("_given").alias("doc_id"), F.col("_text").alias("text"), F.col("_copy").alias("copy"), F.col("_runs").alias("runs"), *[F.col(f"_rest.`{c}`") for c in rest])
 
