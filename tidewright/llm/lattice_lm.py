@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import Rolling, materialize, ship, spans_of
+from tidewright.llm.common import Rolling, materialize, ship, spans_of, tidy
 from tidewright.llm.subword import DEFAULT_MODEL, Vocabulary, load_vocabulary
 
 LOG10_E = math.log10(math.e)
@@ -157,7 +157,7 @@ def fit(counts: DataFrame, n_texts: int, vocabulary: Vocabulary, rounds: int = 2
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], ["piece", "n"])
 
-        got = counts.mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        got = counts.mapInArrow(tidy(run), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
         expected = np.full(len(pieces), smoothing)
         for r in got:
             expected[r["piece"]] += r["n"]
@@ -219,7 +219,7 @@ def score_texts(docs: DataFrame, learn: DataFrame, model_path: str = DEFAULT_MOD
 
     given = docs.select(F.monotonically_increasing_id().alias("_row"), *rest, F.encode(F.col("text").cast("string"), "UTF-8").alias("text"))
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "text")
-    scored = materialize(given.mapInArrow(run, f"{spec}, _tokens long, _known long, _base double, _score double, _tail array<binary>, _tail_n array<long>"), "scored")
+    scored = materialize(given.mapInArrow(tidy(run), f"{spec}, _tokens long, _known long, _base double, _score double, _tail array<binary>, _tail_n array<long>"), "scored")
     tail = scored.select("_row", F.explode(F.arrays_zip("_tail", "_tail_n")).alias("t")).select("_row", F.col("t._tail").alias("word"), F.col("t._tail_n").alias("k"))
     c = F.coalesce("n", F.lit(0))
     tail = tail.join(counts.where(F.col("n") < least), "word", "left").groupBy("_row").agg(F.sum(F.col("k") * F.log10((c + 0.1) / z)).alias("_b"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("_k"))

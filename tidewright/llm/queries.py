@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    learn = docs.where(~in_fold(5, 0))
+    learn = docs.where(~in_fold(5, 0) & F.col("doc_id").isNotNull())
     return language_id.detect_language(docs, learn).select("doc_id", in_fold(5, 0).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 

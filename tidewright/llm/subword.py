@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import ship
+from tidewright.llm.common import ship, tidy
 
 #: The vocabulary's mark for a space; in texts of its own it is spelt with byte pieces, so that decoding is exact.
 MARK = "▁"
@@ -254,4 +254,4 @@ def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, dropout: floa
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(np.diff(ends).astype(np.int64)), pa.array(digests, pa.string()), pa.array(exact, pa.bool_())], ["doc_id", "n_bytes", "ids", "n_tokens", "decoded_sha256", "lossless"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes long, ids array<int>, n_tokens long, decoded_sha256 string, lossless boolean")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, n_bytes long, ids array<int>, n_tokens long, decoded_sha256 string, lossless boolean")

@@ -25,9 +25,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import ship
+from tidewright.llm.common import ship, tidy
 
-CELL_DIFF, CELL_LENGTH, REPEATS, MEMO = (-4, 8), 30, 3, 400_000
+CELL_DIFF, CELL_LENGTH, REPEATS, MEMO = (-4, 8), 30, 3, 200_000
 TOXIC_LEVEL, ORDINARY_LEVEL = 9, 3
 
 
@@ -59,6 +59,7 @@ class Distance:
             kept.append(zstandard.ZstdCompressor(level=level, dict_data=d, **plain))
         self._toxic, self._ordinary = kept
         self._memo: dict[bytes, tuple[int, int]] = {}
+        self._same: dict[tuple[int, int], tuple[int, int]] = {}
 
     def cell(self, word: bytes) -> tuple[int, int]:
         found = self._memo.get(word)
@@ -69,7 +70,7 @@ class Distance:
             found = (min(max(diff, CELL_DIFF[0]), CELL_DIFF[1]), min(n, CELL_LENGTH))
             if len(self._memo) >= MEMO:
                 self._memo.clear()
-            self._memo[word] = found
+            self._memo[word] = found = self._same.setdefault(found, found)
         return found
 
     def cells(self, text: bytes) -> Counter:
@@ -176,7 +177,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.7) for s in scores], pa.int32())], ["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.encode(F.col("text").cast("string"), "UTF-8").alias("text")).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return docs.select("doc_id", F.encode(F.col("text").cast("string"), "UTF-8").alias("text")).mapInArrow(tidy(run), f"doc_id {kind}, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float = 0.7) -> DataFrame:
@@ -190,4 +191,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel | None, threshold: float =
         for batch in batches:
             yield batch if m is None else batch.filter(pa.array([m.score(distance, (t.as_py() or "").encode()) < threshold for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
