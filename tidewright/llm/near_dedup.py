@@ -7,7 +7,7 @@ one element are correlated, which lowers the estimate's variance.
 
 Equal sets become one class first. Signatures are cut into bands; in a bucket of
 classes that agree on a band, every class is paired with one pivot that a hash
-chooses, so that a large group meets several pivots over its bands
+of the bucket chooses, so that a large group meets many pivots over its bands
 and gives a number of pairs in proportion to its size. Pairs are verified on the
 full sets of words. Buckets that still hold several components are then
 compared across components, so that every candidate pair is either verified or
@@ -279,7 +279,7 @@ def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup)
         if last:
             pairs = open_members.join(other, "key").where((F.col("label") != F.col("_label")) & (F.col("rep") < F.col("_rep")) & _may_link(p))
         else:
-            pivot = other.groupBy("key").agg(F.min_by(F.struct("_rep", "_label", "_size", "_signs"), F.xxhash64("_rep", F.lit(turn))).alias("_pivot")).select("key", "_pivot.*")
+            pivot = other.groupBy("key").agg(F.min_by(F.struct("_rep", "_label", "_size", "_signs"), F.xxhash64("_rep", "key", F.lit(turn))).alias("_pivot")).select("key", "_pivot.*")
             pairs = open_members.join(pivot, "key").where((F.col("label") != F.col("_label")) & _may_link(p))
         pairs = pairs.select(*_ordered(F.col("rep"), F.col("_rep"))).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
