@@ -280,6 +280,36 @@ def test_toxicity_on_held_out_and_odd_rows(spark):
     assert kept == {i for i, r in got.items() if not r["predicted"]}
 
 
+def test_toxicity_does_not_grow_with_length(spark):
+    distance = toxicity.Distance(b"vilename scumword nastyterm " * 40, b"plain words of ordinary text " * 40)
+    mild, vile = distance.cell(b"ordinaryish"), distance.cell(b"vilename")
+    assert len({mild, vile, distance.cell(b"of")}) == 3
+    model = toxicity.ToxicityModel(b"vilename scumword nastyterm " * 40, b"plain words of ordinary text " * 40, {mild: 1.0, vile: 4.0}, 5.0)
+    part = b"of " * 199 + b"ordinaryish "
+    assert all(model.score(distance, part * n) < 0.7 for n in (1, 5, 25, 100))
+    passage = b"of vilename " * 4
+    assert all(model.score(distance, part * n + passage + part * n) >= 0.7 for n in (0, 1, 25, 100))
+
+
+def test_toxicity_learns_from_texts_of_all_lengths(spark):
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 7))) for _ in range(300)]
+    bad = ["vilename", "scumword", "nastyterm"]
+    data = []
+    for i in range(40):
+        w = draw.choices(words, k=6000)
+        for _ in range(90 * (i % 2)):
+            w.insert(draw.randrange(6000), draw.choice(bad))
+        data.append((i, " ".join(w)))
+    docs = docs_of(spark, data)
+    assert min(len(t) for _, t in data) > 20_000
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    for limits in (toxicity.Limits(), toxicity.Limits(toxic_bytes=300_000, ordinary_bytes=300_000)):
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, toxicity.learn(docs, labels, limits)).collect()}
+        assert sum(got[i] == i % 2 for i in range(30, 40)) >= 9
+    assert toxicity.learn(docs, labels, toxicity.Limits(toxic_bytes=1, ordinary_bytes=1)) is not None
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 3), max_size=60))
 def test_suffix_order(values):

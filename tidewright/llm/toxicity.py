@@ -5,8 +5,11 @@ A window is one word, written three times so that a block's fixed cost does not
 hide what a short word saves. The pair (ordinary length minus toxic length,
 toxic length) of a window is its cell; how much more often a cell occurs in
 toxic than in ordinary text is learned as a log ratio. A text's distance is the
-sum over its windows of the ratios that clearly speak for toxicity; a threshold
-calibrated on the learning rows turns it into a score.
+largest sum, over its runs of 200 windows, of the ratios that clearly speak for
+toxicity, less the logarithm of how many such runs it has room for, so that
+ordinary words do not add up with a text's length and one toxic passage counts
+in a text of any length. A threshold calibrated on learning rows of all lengths
+turns it into a score.
 
 The toxic dictionary is trained on words that stand in many different contexts
 of toxic texts and in no ordinary one; copies of a text give one context.
@@ -14,12 +17,14 @@ of toxic texts and in no ordinary one; copies of a text give one context.
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -29,15 +34,17 @@ from tidewright.llm.common import ship, tidy
 
 CELL_DIFF, CELL_LENGTH, REPEATS, MEMO = (-4, 8), 30, 3, 200_000
 TOXIC_LEVEL, ORDINARY_LEVEL = 9, 3
+RUN = 200
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds of what is learned from, whatever the input's size."""
+    """Bounds of what is learned from, whatever the input's size; texts of every length are taken, in the order of a hash."""
 
     toxic_docs: int = 1500
     ordinary_docs: int = 4000
-    max_doc_bytes: int = 20_000
+    toxic_bytes: int = 8_000_000
+    ordinary_bytes: int = 16_000_000
     dictionary_bytes: int = 112_640
     context_share: float = 0.01  # of the toxic texts; a word needs as many different contexts, 3 at least
     clear_ratio: float = 0.7
@@ -73,8 +80,17 @@ class Distance:
             self._memo[word] = found = self._same.setdefault(found, found)
         return found
 
-    def cells(self, text: bytes) -> Counter:
-        return Counter(map(self.cell, words_of(text)))
+    def cells(self, text: bytes) -> list[tuple[int, int]]:
+        return list(map(self.cell, words_of(text)))
+
+
+def worst_run(cells: list[tuple[int, int]], ratio: dict[tuple[int, int], float]) -> float:
+    """Largest sum of ratios over RUN windows in a row, less log(windows / RUN) for the choice among so many runs."""
+    v = [ratio.get(c, 0.0) for c in cells]
+    if len(v) <= RUN:
+        return sum(v)
+    upto = np.concatenate([[0.0], np.cumsum(v)])
+    return float((upto[RUN:] - upto[:-RUN]).max()) - math.log(len(v) / RUN)
 
 
 def _dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:
@@ -93,7 +109,7 @@ class ToxicityModel:
     threshold: float
 
     def score(self, distance: Distance, text: bytes) -> float:
-        z = sum(n * self.ratio.get(cell, 0.0) for cell, n in distance.cells(text).items())
+        z = worst_run(distance.cells(text), self.ratio)
         return 1 / (1 + math.exp(min(60.0, -1.2 * (z - self.threshold) - math.log(7 / 3))))
 
 
@@ -121,11 +137,11 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
     ordinary_dict = _dictionary([b" ".join(running[i : i + 16]) for i in range(0, len(running), 16)][:60_000], limits.dictionary_bytes, 64, 8)
     distance = Distance(toxic_dict, ordinary_dict)
     cells = [[distance.cells(t) for t in texts] for texts in (ordinary, toxic)]
-    totals = [sum(c, Counter()) for c in cells]
+    totals = [Counter(c for x in kind for c in x) for kind in cells]
     sums = [max(1, sum(t.values())) for t in totals]
     ratio = {c: math.log((totals[1][c] + 0.5) / (sums[1] + 1) / ((totals[0][c] + 0.5) / (sums[0] + 1))) for c in totals[1]}
     ratio = {c: r for c, r in ratio.items() if r > limits.clear_ratio}
-    z = [sorted(sum(n * ratio.get(c, 0.0) for c, n in x.items()) for x in kind) for kind in cells]
+    z = [sorted(worst_run(x, ratio) for x in kind) for kind in cells]
     best, plateau = -1.0, []
     for t in sorted({0.5, *(round(v - 0.01, 3) for v in z[1] if v > 0.5), *(round(v + 0.01, 3) for v in z[0] if v > 0.5)}):
         hit, false = sum(v >= t for v in z[1]), sum(v >= t for v in z[0]) * ordinary_weight
@@ -143,6 +159,8 @@ def learn(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Toxi
     labels: doc_id and toxic (0 or 1; others and nulls are left out). Ids are
     thinned by a hash at a rate known from counts; only the chosen ids (a
     bounded number) are joined to docs, and only their texts reach the driver.
+    If these hold too many bytes, the rate is lowered until they fit, whatever
+    the length of the single text; the first text is always taken.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).distinct()
     counts = {r["_toxic"]: r["n"] for r in known.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
@@ -151,9 +169,20 @@ def learn(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Toxi
         return None
     draw = F.pmod(F.xxhash64("_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.when(F.col("_toxic") == 1, min(1.0, want[1] / counts[1])).otherwise(min(1.0, want[0] / counts[0]))
-    chosen = F.broadcast(known.where(draw < rate))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.octet_length("text") <= limits.max_doc_bytes)
-    rows = texts.join(chosen, texts["doc_id"] == chosen["_id"]).select("_id", "_toxic", F.encode("text", "UTF-8").alias("t")).collect()
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+
+    def of(chosen: DataFrame) -> DataFrame:
+        chosen = F.broadcast(chosen)
+        return texts.join(chosen, texts["doc_id"] == chosen["_id"])
+
+    sizes = of(known.where(draw < rate)).select("_toxic", draw.alias("draw"), F.octet_length("text").alias("n")).collect()
+    cut = {}
+    for kind, room in ((0, limits.ordinary_bytes), (1, limits.toxic_bytes)):
+        mine = sorted((r["draw"], r["n"]) for r in sizes if r["_toxic"] == kind)
+        ends = itertools.accumulate(n for _, n in mine)
+        cut[kind] = next((d for (d, _), end in zip(mine, ends, strict=True) if end > room and d > mine[0][0]), 1.0)
+    rate = F.least(rate, F.when(F.col("_toxic") == 1, cut[1]).otherwise(cut[0]))
+    rows = of(known.where(draw < rate)).select("_id", "_toxic", F.encode("text", "UTF-8").alias("t")).collect()
     split: dict[int, list[bytes]] = {0: [], 1: []}
     for r in sorted(rows, key=lambda r: (r["_id"], bytes(r["t"]))):
         split[r["_toxic"]].append(bytes(r["t"]).lower())
