@@ -208,6 +208,22 @@ def test_subword_dropout_varies_repeats_and_agrees(vocabulary):
     assert a.merge_many(units, 1) == [a.merge(u, 1) for u in units]
 
 
+def test_subword_dropout_draws_every_occurrence(vocabulary):
+    encoder = subword.Encoder(vocabulary, 0.1, 3)
+    texts = [f"{i} segmentation" for i in range(400)]
+    last = [tuple(ids[-1:]) if len(ids) < 3 else tuple(ids[2:]) for ids in encoder.encode_many(texts)]
+    assert len(set(last)) > 4
+    one = encoder.encode(" ".join(["the"] * 4000))
+    whole = subword.Encoder(vocabulary, 0.0).encode("the")[0]
+    left = sum(i == whole for i in one) / 4000
+    assert 0.75 < left < 0.95 and len(set(one)) > 2
+    texts = ["the segmentation of 日本語テスト \u2603\u2603 snow " * 5, "", "a" * 300, "x \u2581 y"]
+    assert encoder.encode_many(texts) == encoder.encode_many(texts, block=1) == [encoder.encode(t) for t in texts]
+    assert [encoder.decode(i) for i in encoder.encode_many(texts)] == [t.encode() for t in texts]
+    units = [" segmentation", " international", " snow", " \u2603 ok"] * 50
+    assert encoder.merge_many(units, range(200)) == [encoder.merge(u, k) for k, u in enumerate(units)]
+
+
 def test_subword_columns(spark):
     rows = subword.encode_texts(docs_of(spark, ODD)).collect()
     assert len(rows) == len(ODD) and all(r["lossless"] for r in rows)
