@@ -65,6 +65,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_a_fruitless_pivot_does_not_end_the_search_for_links(spark):
+    hashed = spark.range(1, 4).select("id", F.xxhash64("id", F.lit(7).cast("long"), F.lit(0)).alias("h")).collect()
+    pivot = min(hashed, key=lambda r: r["h"])["id"]
+    members = spark.createDataFrame([(7, i) for i in (1, 2, 3)], "key long, rep long")
+    facts = spark.createDataFrame([(i, 1000 if i == pivot else 56, [0] * 5) for i in (1, 2, 3)], "rep long, size long, signs array<long>")
+    source = spark.createDataFrame([(i, "a b c d e" if i == pivot else BASE) for i in (1, 2, 3)], "doc_id long, text string")
+    links = near_dedup._links(source, members, facts, near_dedup.NearDup())
+    assert [(r["a"], r["b"]) for r in links.collect()] == [tuple(sorted({1, 2, 3} - {pivot}))]
+
+
 def test_super_minhash_is_a_permutation_and_estimates():
     draw = np.random.default_rng(0)
     one = near_dedup.super_minhash(np.array([5], np.uint64), np.array([0, 1]), 64, 1)

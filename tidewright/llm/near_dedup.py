@@ -267,10 +267,11 @@ def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup)
     texts = source.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("doc_id") == F.col("_id"), "left_semi")
     texts = materialize(texts.select("doc_id", F.encode("text", "UTF-8").alias("text")), "texts")
     tried = edges = None
+    stuck = False
     facts = materialize(facts.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("rep") == F.col("_id"), "left_semi"), "facts")
     open_members = members.withColumn("label", F.col("rep")).join(facts, "rep")
     for turn in range(p.pivot_rounds + 1):
-        last = turn == p.pivot_rounds
+        last = stuck or turn == p.pivot_rounds
         if turn:
             sizes = open_members.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
             crossing = sizes.select(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
@@ -284,7 +285,10 @@ def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup)
         pairs = pairs.select(*_ordered(F.col("rep"), F.col("_rep"))).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
-            return edges
+            if last:
+                return edges
+            stuck = True  # pairs without a pivot may be left
+            continue
         found = materialize(verify(pairs, texts, p), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
