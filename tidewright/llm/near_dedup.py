@@ -5,13 +5,16 @@ and offers rank + uniform to register permutation[rank], rank by rank; a set is
 done as soon as every register holds a value below the next rank. Registers of
 one element are correlated, which lowers the estimate's variance.
 
-Equal sets become one class first. Signatures are cut into bands; in a bucket of
-classes that agree on a band, every class is paired with one pivot that a hash
-of the bucket chooses, so that a large group meets many pivots over its bands
-and gives a number of pairs in proportion to its size. Pairs are verified on the
-full sets of words. Buckets that still hold several components are then
-compared across components, so that every candidate pair is either verified or
-already connected.
+Equal sets become one class first. Signatures are cut into bands; a bucket of
+classes that agree on a band has one pivot that a hash chooses, and every class
+is paired with the few pivots of its buckets whose signatures are nearest, so
+that pairs are in proportion to classes however large a group is. Pairs are
+verified on the full sets of words. What is left are buckets that hold several
+components. Two of their classes can only link if they share one of their rarest
+shingles, at a place that leaves room for the overlap (the prefix and positional
+bounds, which are exact); the pairs across components that do are verified too.
+So every candidate pair is verified, already connected, or shown to be too
+different, and classes that differ from a whole group cost nothing more.
 """
 
 from __future__ import annotations
@@ -37,8 +40,9 @@ class NearDup:
     bands: int = 46
     rows: int = 6
     seed: int = 11
-    broadcast_ids: int = 4_000_000
-    pivot_rounds: int = 6
+    broadcast_ids: int = 500_000
+    pivot_rounds: int = 2
+    pivots: int = 3
 
 
 def shingle_hashes(data: np.ndarray, off: np.ndarray, k: int, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +151,7 @@ def sign_bits(signatures: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, p: NearDup) -> DataFrame:
-    """doc_id, n_shingles, fingerprint of the set (two longs) and band keys of every row."""
+    """doc_id, n_shingles, fingerprint of the set (two longs), band keys, signs and hash of the text (two longs) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(p.seed)
@@ -164,9 +168,13 @@ def sketch(docs: DataFrame, p: NearDup) -> DataFrame:
                 signs = sign_bits(signatures)
                 cuts = np.arange(0, signs.size + 1, signs.shape[1], dtype=np.int32)
                 ends = np.arange(0, keys.size + 1, p.bands, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(at).astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signs.reshape(-1)))], ["doc_id", "n_shingles", "fp_a", "fp_b", "keys", "signs"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(at).astype(np.int64)), pa.array(fps[0]), pa.array(fps[1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1))), pa.ListArray.from_arrays(pa.array(cuts), pa.array(signs.reshape(-1))), *(batch.column(c).slice(lo, hi - lo) for c in ("text_a", "text_b"))], ["doc_id", "n_shingles", "fp_a", "fp_b", "keys", "signs", "text_a", "text_b"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "doc_id long, n_shingles long, fp_a long, fp_b long, keys array<long>, signs array<long>")
+    return docs.select("doc_id", "text", *_text_key(F.col("text"))).mapInArrow(tidy(run), "doc_id long, n_shingles long, fp_a long, fp_b long, keys array<long>, signs array<long>, text_a long, text_b long")
+
+
+def _text_key(text):
+    return F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit(1), text).alias("text_b")
 
 
 def shingle_set(text: bytes, k: int) -> frozenset:
@@ -214,48 +222,99 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     p.words-word shingles. component_id is the smallest doc_id reachable over
     links of at least p.percent; kept says whether it is the row's own. Null,
     empty and wordless texts have empty sets and link with nothing. Rows with a
-    null doc_id link with nothing and have a null component. Rows that repeat a
-    doc_id are one document. Empty tables are fine; other columns are ignored.
+    null doc_id link with nothing and have a null component. doc_id is a
+    document's identity: of rows that repeat one with different texts all share
+    a component, for which links of one of the texts, the one of least
+    fingerprint, are looked for. Empty tables are fine; other columns are ignored.
     """
+    return _judged(docs, p).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, p: NearDup) -> DataFrame:
+    """near_duplicates() with the hash of each row's text."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialize(sketch(source, p), "sketches")
     usable = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = materialize(usable.groupBy("fp_a", "fp_b").agg(F.min("doc_id").alias("rep")), "classes")
     mine = reps.select(F.col("fp_a").alias("_a"), F.col("fp_b").alias("_b"), "rep")
-    facts = usable.join(mine, (F.col("fp_a") == F.col("_a")) & (F.col("fp_b") == F.col("_b")) & (F.col("doc_id") == F.col("rep")), "left_semi")
-    buckets = facts.select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
+    firsts = usable.join(mine, (F.col("fp_a") == F.col("_a")) & (F.col("fp_b") == F.col("_b")) & (F.col("doc_id") == F.col("rep")), "left_semi")
+    one = F.min(F.struct("fp_a", "fp_b", "text_a", "text_b", F.col("n_shingles").alias("size"), "signs", "keys"))
+    facts = firsts.groupBy(F.col("doc_id").alias("rep")).agg(one.alias("_f")).select("rep", "_f.*")
+    buckets = facts.select("rep", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = materialize(buckets.join(shared, "key").select("key", "rep").distinct(), "buckets")
-    edges = _links(source, members, facts.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"), "signs"), p)
+    facts = facts.select("rep", "size", "signs", "text_a", "text_b")
+    edges = _links(source, members, facts, p)
     labels = connected_components(edges) if edges is not None else None
     owner = reps if labels is None else reps.join(labels, F.col("rep") == F.col("node"), "left").select("fp_a", "fp_b", F.coalesce("label", "rep").alias("rep"))
     owner = owner.select(F.col("fp_a").alias("_a"), F.col("fp_b").alias("_b"), F.col("rep").alias("_owner"))
     joined = sketches.join(owner, (F.col("fp_a") == F.col("_a")) & (F.col("fp_b") == F.col("_b")) & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("_owner", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_a", "text_b")
 
 
 def keep_one(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
-    """The rows of docs, all columns, that near_duplicates() keeps; of rows that repeat a doc_id one stays."""
-    columns = docs.columns
-    found = near_duplicates(docs.select("doc_id", "text"), p)
-    facts = materialize(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_n")).where("not _kept or _n > 1"), "verdicts")
-    n = facts.count()
-    facts = F.broadcast(facts) if n <= p.broadcast_ids else facts
-    judged = docs.join(facts, docs["doc_id"].cast("long") == F.col("_id"), "left").where(F.coalesce("_kept", F.lit(True)))
+    """The rows of docs, all columns, that near_duplicates() keeps.
+
+    Of rows that repeat both doc_id and text the one of least JSON stays; rows
+    that repeat a doc_id with different texts are judged one by one. Rows with a
+    null doc_id stay.
+    """
+    found = _judged(docs.select("doc_id", "text"), p).where("doc_id is not null")
+    facts = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_a").alias("_a"), F.col("text_b").alias("_b")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_n"))
+    facts = materialize(facts.where("not _kept or _n > 1"), "verdicts")
+    facts = F.broadcast(facts) if facts.count() <= p.broadcast_ids else facts
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs["doc_id"].cast("long").alias("_doc"), *_text_key(docs["text"].cast("string")))
+    judged = rows.join(facts, (F.col("_doc") == F.col("_id")) & (F.col("text_a") == F.col("_a")) & (F.col("text_b") == F.col("_b")), "left").where(F.coalesce("_kept", F.lit(True)))
     if facts.where("_kept").isEmpty():
-        return judged.select(*columns)
-    once = judged.where(F.coalesce("_n", F.lit(1)) == 1)
-    return once.unionByName(judged.where("_n > 1").dropDuplicates(["_id"])).select(*columns)
+        return judged.select("_row.*")
+    once = judged.where(F.coalesce("_n", F.lit(1)) == 1).select("_row")
+    repeated = judged.where("_n > 1").groupBy("_id", "_a", "_b").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row")
+    return once.unionByName(repeated).select("_row.*")
+
+
+def _differing(p: NearDup):
+    """How many of the registers' bits differ between signs and _signs."""
+    return sum((F.bit_count(F.col("signs")[i].bitwiseXOR(F.col("_signs")[i])) for i in range(-(-p.bands * p.rows // 64))), F.lit(0))
 
 
-def _may_link(p: NearDup):
-    """Join condition on size, signs and _size, _signs: sets of sizes too different cannot link; of a pair that
-    links, a tenth of all signs is expected to differ at most, and six and a half deviations more are let pass."""
-    n = p.bands * p.rows
-    miss = (100 - p.percent) / 200
-    differ = sum((F.bit_count(F.col("signs")[i].bitwiseXOR(F.col("_signs")[i])) for i in range(-(-n // 64))), F.lit(0))
-    return (100 * F.least("size", "_size") >= p.percent * F.greatest("size", "_size")) & (differ <= n * miss + 6.5 * (n * miss * (1 - miss)) ** 0.5)
+def _pivot_pairs(members: DataFrame, turn: int, p: NearDup) -> DataFrame:
+    """Each class with the p.pivots nearest pivots of its buckets that are of another component."""
+    chosen = members.select("key", F.struct(F.col("rep").alias("_rep"), F.col("label").alias("_label"), F.col("size").alias("_size"), F.col("signs").alias("_signs")).alias("_m"))
+    pivot = chosen.groupBy("key").agg(F.min_by("_m", F.xxhash64("_m._rep", "key", F.lit(turn))).alias("_m")).select("key", "_m.*")
+    close = 100 * F.least("size", "_size") >= p.percent * F.greatest("size", "_size")
+    met = members.join(pivot, "key").where((F.col("label") != F.col("_label")) & close)
+    best = met.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set(F.struct(_differing(p).alias("d"), "_rep"))), 1, p.pivots).alias("_best"))  # one a band at most
+    pairs = best.select("rep", F.explode("_best._rep").alias("_rep"))
+    return pairs.select(*_ordered(F.col("rep"), F.col("_rep"))).distinct()
+
+
+def _rare_pairs(texts: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
+    """Pairs of different components among nodes (rep, label, size) that share a shingle of both prefixes within the positional bounds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling = Rolling(p.seed)
+        for batch in batches:
+            data, off, _ = utf8_view(batch.column("text"))
+            for lo, hi in spans_of(np.diff(off), 1 << 20):
+                owner, hashes = shingle_hashes(data, off[lo : hi + 1], p.words, rolling)
+                elements, at = distinct_by_text(owner, hashes, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("rep", "label", "size")), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(elements.view(np.int64)))], ["rep", "label", "size", "tokens"])
+
+    open_texts = texts.join(nodes, texts["doc_id"] == nodes["rep"]).select("rep", "label", "size", "text")
+    tokens = materialize(open_texts.mapInArrow(tidy(run), "rep long, label long, size long, tokens array<long>"), "tokens").select("rep", "label", "size", F.explode("tokens").alias("token"))
+    common = tokens.groupBy("token").agg(F.count("*").alias("n"), (F.min("label") < F.max("label")).alias("crossing")).where("n > 1")
+    # shingles of one class only come first in the order; they take places of the prefix and meet nobody
+    ranked = tokens.join(common, "token").groupBy("rep", "label", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token", "crossing"))).alias("_t"))
+    length = F.col("size") - F.ceil(F.col("size") * p.percent / 100) + 1
+    alone = (F.col("size") - F.size("_t")).alias("alone")
+    prefix = ranked.select("rep", "label", "size", alone, F.posexplode(F.slice("_t", 1, F.greatest((length - F.col("size") + F.size("_t")).cast("int"), F.lit(0)))))
+    prefix = materialize(prefix.where("col.crossing").select("rep", "label", "size", F.col("col.token").alias("token"), (F.col("size") - F.col("alone") - F.col("pos")).alias("room")), "prefixes")
+    other = prefix.select("token", *(F.col(c).alias(f"_{c}") for c in ("rep", "label", "size", "room")))
+    close = 100 * F.least("size", "_size") >= p.percent * F.greatest("size", "_size")
+    fits = (100 + p.percent) * F.least("room", "_room") >= p.percent * (F.col("size") + F.col("_size"))
+    met = prefix.join(other, "token").where((F.col("label") != F.col("_label")) & (F.col("rep") < F.col("_rep")) & close & fits)
+    return met.select(F.col("rep").alias("a"), F.col("_rep").alias("b")).distinct()
 
 
 def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup) -> DataFrame | None:
@@ -264,39 +323,30 @@ def _links(source: DataFrame, members: DataFrame, facts: DataFrame, p: NearDup)
     n_ids = ids.count()
     if not n_ids:
         return None
-    texts = source.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    texts = materialize(texts.select("doc_id", F.encode("text", "UTF-8").alias("text")), "texts")
+    few = F.broadcast if n_ids <= p.broadcast_ids else lambda df: df
+    facts = materialize(facts.join(few(ids), F.col("rep") == F.col("_id"), "left_semi"), "facts")
+    chosen = few(facts.select(F.col("rep").alias("_id"), F.col("text_a").alias("_a"), F.col("text_b").alias("_b")))
+    texts = source.withColumns(dict(zip(("text_a", "text_b"), _text_key(F.col("text")), strict=True)))
+    texts = texts.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("text_a") == F.col("_a")) & (F.col("text_b") == F.col("_b")), "left_semi")
+    texts = materialize(texts.select("doc_id", F.encode("text", "UTF-8").alias("text")).dropDuplicates(["doc_id"]), "texts")
+    facts = facts.drop("text_a", "text_b")
     tried = edges = None
-    stuck = False
-    facts = materialize(facts.join(F.broadcast(ids) if n_ids <= p.broadcast_ids else ids, F.col("rep") == F.col("_id"), "left_semi"), "facts")
     open_members = members.withColumn("label", F.col("rep")).join(facts, "rep")
     for turn in range(p.pivot_rounds + 1):
-        last = stuck or turn == p.pivot_rounds
-        if turn:
-            sizes = open_members.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-            crossing = sizes.select(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("members")).first()
-            last |= (crossing["pairs"] or 0) <= max(1_000_000, 8 * (crossing["members"] or 0))
-        other = open_members.select("key", F.col("rep").alias("_rep"), F.col("label").alias("_label"), F.col("size").alias("_size"), F.col("signs").alias("_signs"))
-        if last:
-            pairs = open_members.join(other, "key").where((F.col("label") != F.col("_label")) & (F.col("rep") < F.col("_rep")) & _may_link(p))
+        if turn < p.pivot_rounds:
+            pairs = _pivot_pairs(open_members, turn, p)
         else:
-            pivot = other.groupBy("key").agg(F.min_by(F.struct("_rep", "_label", "_size", "_signs"), F.xxhash64("_rep", "key", F.lit(turn))).alias("_pivot")).select("key", "_pivot.*")
-            pairs = open_members.join(pivot, "key").where((F.col("label") != F.col("_label")) & _may_link(p))
-        pairs = pairs.select(*_ordered(F.col("rep"), F.col("_rep"))).distinct()
+            pairs = _rare_pairs(texts, open_members.select("rep", "label", "size").distinct(), p)
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if last:
-                return edges
-            stuck = True  # pairs without a pivot may be left
+        if pairs.isEmpty():  # pairs without a pivot may be left
             continue
         found = materialize(verify(pairs, texts, p), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
-        if last:
-            return edges
-        labels = connected_components(edges)
-        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))  # connects the same with fewer edges
-        labelled = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
-        split = labelled.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key")
-        open_members = materialize(labelled.join(split, "key", "left_semi").join(facts, "rep"), "open")
+        if turn < p.pivot_rounds:
+            labels = connected_components(edges)
+            edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))  # connects the same with fewer edges
+            labelled = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+            split = labelled.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key")
+            open_members = materialize(labelled.join(split, "key", "left_semi").join(facts, "rep"), "open")
     return edges
