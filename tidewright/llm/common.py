@@ -22,10 +22,13 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    Read from spark.checkpoint.dir; only where that is unset (local tests) a
-    folder of this machine is used.
+    Read from spark.checkpoint.dir. Where that is unset, a local session (tests)
+    uses a folder of this machine; on a cluster, whose machines would not see
+    each other's, it is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
+    if where is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
     return where or f"file://{os.path.join(tempfile.gettempdir(), 'tidewright-shared')}"
 
 

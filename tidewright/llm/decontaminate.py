@@ -101,17 +101,22 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tu
         yield block
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", window: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
     """For every row of docs: key, n_words, runs (hit words as start, end, start, end, ...) and items (sorted as strings).
 
     Null and wordless texts have no words and no hits; null and wordless items
     hit nothing; an item with a null id counts under the id `null`. Repeated
-    rows give repeated results (key need not be unique unless the benchmark is
-    larger than block_bytes); empty tables are fine; other columns are ignored.
+    rows give repeated results, however many blocks the benchmark has; empty
+    tables are fine; other columns are ignored.
     """
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
-    texts = docs.select(F.col(key).alias("key"), F.encode(F.col("text").cast("string"), "UTF-8").alias("text"))
+    texts = docs.select(F.lit(0).cast("long").alias("row"), F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
+    several = (benchmark.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0) >= block_bytes
+    if several:  # rows are put together again by a number of their own, which is stored so that it stays
+        texts = materialize(texts.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    texts = texts.withColumn("text", F.encode("text", "UTF-8"))
+    spec = f"row long, key {kind}, n_words long, runs array<long>, items array<string>"
 
     def against(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,22 +129,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
                     sizes.append(len(words))
                     runs.append([x for r in hit for x in r])
                     items.append(sorted("null" if i is None else str(i) for i in ids))
-                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], ["key", "n_words", "runs", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], ["row", "key", "n_words", "runs", "items"])
 
         return run
 
     parts = []
     for block in benchmark_blocks(benchmark, block_bytes):
         rarity = token_rarity(docs, {w for _, t in block for w in words_of(t)})
-        shared = ship(spark, window_index(block, window, rarity))
-        parts.append(texts.mapInArrow(against(shared), f"key {kind}, n_words long, runs array<long>, items array<string>"))
+        parts.append(texts.mapInArrow(against(ship(spark, window_index(block, window, rarity))), spec))
     if not parts:
-        parts = [texts.mapInArrow(against(ship(spark, {})), f"key {kind}, n_words long, runs array<long>, items array<string>")]
-    if len(parts) > 1:
+        parts = [texts.mapInArrow(against(ship(spark, {})), spec)]
+    found = parts[0]
+    if several:
         stored = reduce(DataFrame.unionByName, [materialize(p, "hits") for p in parts])
-        grouped = stored.groupBy("key").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        return grouped.withColumnRenamed("key", key)
-    return parts[0].withColumnRenamed("key", key)
+        found = stored.groupBy("row").agg(F.first("key").alias("key"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return found.select(F.col("key").alias(key), "n_words", "runs", "items")
 
 
 def count_hit_words(runs: pa.Array) -> list[int]:
@@ -168,7 +172,7 @@ def digest_hits(hits: DataFrame, key: str = "doc_id") -> DataFrame:
     return hits.mapInArrow(run, f"{key} {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of docs without a benchmark window in their text, with all their columns; nothing is shuffled."""
     spark = docs.sparkSession
     schema = docs.schema
