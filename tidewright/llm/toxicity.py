@@ -8,8 +8,8 @@ toxic than in ordinary text is learned as a log ratio. A text's distance is the
 largest sum, over its runs of 200 windows, of the ratios that clearly speak for
 toxicity, less the logarithm of how many such runs it has room for, so that
 ordinary words do not add up with a text's length and one toxic passage counts
-in a text of any length. A threshold calibrated on learning rows of all lengths
-turns it into a score.
+in a text of any length. A threshold calibrated across halves of the learning
+rows, of all lengths, turns it into a score.
 
 The toxic dictionary is trained on words that stand in many different contexts
 of toxic texts and in no ordinary one; copies of a text give one context.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,6 +47,7 @@ class Limits:
     toxic_bytes: int = 8_000_000
     ordinary_bytes: int = 16_000_000
     dictionary_bytes: int = 112_640
+    dictionary_samples: int = 60_000  # of 16 words, spread evenly over the ordinary sample
     context_share: float = 0.01  # of the toxic texts; a word needs as many different contexts, 3 at least
     clear_ratio: float = 0.7
 
@@ -113,10 +115,8 @@ class ToxicityModel:
         return 1 / (1 + math.exp(min(60.0, -1.2 * (z - self.threshold) - math.log(7 / 3))))
 
 
-def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.0, limits: Limits = Limits()) -> ToxicityModel | None:
-    """None if either kind is missing. ordinary_weight: ordinary texts for each one in the sample."""
-    if not toxic or not ordinary:
-        return None
+def _fit(toxic: list[bytes], ordinary: list[bytes], limits: Limits) -> tuple[bytes, bytes, dict[tuple[int, int], float]]:
+    """(toxic dictionary, ordinary dictionary, log ratio of each cell that clearly speaks for toxicity)."""
     usual = Counter()
     for text in ordinary:
         usual.update(words_of(text))
@@ -134,14 +134,37 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
     size = min(limits.dictionary_bytes, max(1024, 2 * sum(len(w) + 2 for w in marked)))
     toxic_dict = _dictionary([b"".join(pool[i : i + 8]) for i in range(0, len(pool), 8)], size, 24, 6)
     running = [w for text in ordinary for w in words_of(text)]
-    ordinary_dict = _dictionary([b" ".join(running[i : i + 16]) for i in range(0, len(running), 16)][:60_000], limits.dictionary_bytes, 64, 8)
+    step = 16 * max(1, -(-len(running) // (16 * limits.dictionary_samples)))
+    ordinary_dict = _dictionary([b" ".join(running[i : i + 16]) for i in range(0, len(running), step)], limits.dictionary_bytes, 64, 8)
     distance = Distance(toxic_dict, ordinary_dict)
-    cells = [[distance.cells(t) for t in texts] for texts in (ordinary, toxic)]
-    totals = [Counter(c for x in kind for c in x) for kind in cells]
+    totals = [Counter(c for t in texts for c in distance.cells(t)) for texts in (ordinary, toxic)]
     sums = [max(1, sum(t.values())) for t in totals]
     ratio = {c: math.log((totals[1][c] + 0.5) / (sums[1] + 1) / ((totals[0][c] + 0.5) / (sums[0] + 1))) for c in totals[1]}
-    ratio = {c: r for c, r in ratio.items() if r > limits.clear_ratio}
-    z = [sorted(worst_run(x, ratio) for x in kind) for kind in cells]
+    return toxic_dict, ordinary_dict, {c: r for c, r in ratio.items() if r > limits.clear_ratio}
+
+
+def _distances(fitted: tuple, texts: list[bytes]) -> list[float]:
+    distance = Distance(*fitted[:2])
+    return [worst_run(distance.cells(t), fitted[2]) for t in texts]
+
+
+def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.0, limits: Limits = Limits()) -> ToxicityModel | None:
+    """None if either kind is missing. ordinary_weight: ordinary texts for each one in the sample.
+
+    The threshold is calibrated on texts that the dictionaries it is used with have not seen: each half of
+    the sample is measured under dictionaries of the other half. Equal texts go to one half.
+    """
+    if not toxic or not ordinary:
+        return None
+    fitted = _fit(toxic, ordinary, limits)
+    halves = [[[t for t in texts if zlib.crc32(t) >> 16 & 1 == half] for half in (0, 1)] for texts in (ordinary, toxic)]
+    z: list[list[float]] = [[], []]
+    for half in (0, 1):
+        other = [kind[1 - half] for kind in halves]
+        under = _fit(other[1], other[0], limits) if all(other) else fitted
+        for out, kind in zip(z, halves, strict=True):
+            out += _distances(under, kind[half])
+    z = [sorted(x) for x in z]
     best, plateau = -1.0, []
     for t in sorted({0.5, *(round(v - 0.01, 3) for v in z[1] if v > 0.5), *(round(v + 0.01, 3) for v in z[0] if v > 0.5)}):
         hit, false = sum(v >= t for v in z[1]), sum(v >= t for v in z[0]) * ordinary_weight
@@ -150,7 +173,7 @@ def train(toxic: list[bytes], ordinary: list[bytes], ordinary_weight: float = 1.
             best, plateau = f1, [t]
         elif f1 > best - 1e-12:
             plateau.append(t)
-    return ToxicityModel(toxic_dict, ordinary_dict, ratio, min((plateau[0] + plateau[-1]) / 2, plateau[0] + 2))
+    return ToxicityModel(*fitted, min((plateau[0] + plateau[-1]) / 2, plateau[0] + 2))
 
 
 def learn(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> ToxicityModel | None:
