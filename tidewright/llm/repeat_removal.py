@@ -12,9 +12,11 @@ would multiply the input. Two facts cut that down without losing a match:
    compared over `length` bytes, and each run of equal prefixes yields the least
    document that holds it.
 
-Before both shuffles each task merges what it has seen twice, so that a frequent
+A bucket is a partition of its own, so that a worker holds one at a time. Before
+both shuffles each task merges what it has seen twice, so that a frequent
 passage is sent a few times by each task and not once by each document. Equal
-texts are settled by fingerprint beforehand.
+texts are settled by a 128-bit fingerprint beforehand, and contexts of an anchor
+that has one context only, however often, by that alone.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +39,9 @@ from tidewright.llm.suffix_array import equal_runs, suffix_order
 class Repeats:
     length: int = 50
     gram: int = 19
-    anchors_in_bucket: int = 1_000_000
+    anchors_in_bucket: int = 500_000
     flush_bytes: int = 8 << 20
-    broadcast_ids: int = 4_000_000
+    broadcast_ids: int = 500_000
 
     @property
     def reach(self) -> int:
@@ -72,15 +75,24 @@ def anchors(data: np.ndarray, starts: np.ndarray, p: Repeats, rolling: Rolling)
     return window[new], window[last], mix64(grams[place[new]])
 
 
+def _squeeze(raw: bytes) -> bytes:
+    """A cell of a shuffled row; the shuffle's own compression does not code by frequency."""
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unsqueeze(cell: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(cell)
+
+
 def _planes(x: np.ndarray) -> bytes:
     """Differences, byte by byte of equal weight: compresses well when values grow slowly."""
     d = np.diff(x, prepend=x.dtype.type(0)) if len(x) else x
-    return d.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+    return _squeeze(d.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes())
 
 
 def _unplanes(b: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    d = np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+    d = np.ascontiguousarray(np.frombuffer(_unsqueeze(b), np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
     return np.cumsum(d, dtype=kind)
 
 
@@ -116,7 +128,7 @@ def _anchor_rows(n_buckets: int, p: Repeats):
         size = 0
         for part, data, off, _, _ in _texts(batches, p.flush_bytes):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            fps = part.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
+            fps = part.column("fp").to_numpy(zero_copy_only=False).astype(np.int32)
             for first, _, h in _pieces(data, off, p, rolling):
                 doc = np.searchsorted(off, first, side="right") - 1
                 held.append((h, ids[doc], fps[doc], (first - off[doc]).astype(np.int32)))
@@ -185,12 +197,12 @@ def _pack_by_doc(doc: np.ndarray, fp: np.ndarray, lo: np.ndarray, hi: np.ndarray
 
 
 def _spans_by_doc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed spans of whole buckets to (doc_id, fp, runs): start, end, start, end, ..., sorted and joined where they overlap."""
+    """Packed spans of whole buckets to (_d, _f, runs): start, end, start, end, ..., sorted and joined where they overlap."""
     columns: list[list] = [[] for _ in range(4)]
     for batch in batches:
         for row in batch.to_pylist():
             for column, name in zip(columns, ("doc", "fp", "lo", "hi"), strict=True):
-                column.append(_unplanes(row[name], np.int64))
+                column.append(_unplanes(row[name], np.int32 if name == "fp" else np.int64))
     if not columns[0]:
         return
     doc, fp, lo, hi = map(np.concatenate, columns)
@@ -210,7 +222,7 @@ def _spans_by_doc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         some = new[i : i + 50_000]
         end = new[i + 50_000] if i + 50_000 < len(new) else len(s)
         cut = 2 * (np.append(some, end) - some[0])
-        yield pa.RecordBatch.from_arrays([pa.array(doc[s[some]]), pa.array(fp[s[some]]), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(runs[2 * some[0] : 2 * end]))], ["doc_id", "fp", "runs"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[s[some]]), pa.array(fp[s[some]]), pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(runs[2 * some[0] : 2 * end]))], ["_d", "_f", "runs"])
 
 
 def _shared_places(n_buckets: int):
@@ -232,7 +244,7 @@ def _find_shared(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndar
             h = np.frombuffer(row["h"], np.uint32).astype(np.uint64) | np.uint64(row["bucket"] << 32) if not row["known"] else np.zeros(len(doc), np.uint64)
             keys.append(h)
             docs.append(doc)
-            fps.append(_unplanes(row["fp"], np.int64))
+            fps.append(_unplanes(row["fp"], np.int32))
             places.append(_unplanes(row["at"], np.int32))
             known.append(np.full(len(doc), bool(row["known"])))
     if not keys:
@@ -260,7 +272,7 @@ def _context_rows(n_buckets: int, p: Repeats):
         size = 0
         for part, data, off, _, _ in _texts(batches, p.flush_bytes):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            fps = part.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
+            fps = part.column("fp").to_numpy(zero_copy_only=False).astype(np.int32)
             wanted = np.concatenate([np.zeros(0, np.int64), *(_places(np.asarray(v.values)) + o for v, o in zip(part.column("places"), off[:-1], strict=True))])
             for first, last, h in _pieces(data, off, p, rolling):
                 hit = np.isin(first, wanted)
@@ -297,7 +309,7 @@ def _pack_contexts(held: list[tuple], n_buckets: int) -> pa.RecordBatch:
         cuts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]])) if len(b) else np.zeros(1, np.int64)
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             c = chosen[lo:hi]
-            body = b"" if flag else b"".join(texts[i] for i in c.tolist())
+            body = b"" if flag else _squeeze(b"".join(texts[i] for i in c.tolist()))
             rows.append((int(b[lo]), flag, b"" if flag else _planes(h[c]), _planes(doc[c]), _planes(fp[c]), _planes(at[c]), _planes(sizes[c]), body))
     kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 6)
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "known", "h", "doc", "fp", "at", "size", "body"])
@@ -312,13 +324,13 @@ def _removable(n_buckets: int, p: Repeats, sort_bytes: int = 1 << 19):
         spans: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
-                doc, fp, at, size = (_unplanes(row[c], k) for c, k in (("doc", np.int64), ("fp", np.int64), ("at", np.int32), ("size", np.int32)))
+                doc, fp, at, size = (_unplanes(row[c], k) for c, k in (("doc", np.int64), ("fp", np.int32), ("at", np.int32), ("size", np.int32)))
                 if row["known"]:
                     spans.append((doc, fp, at.astype(np.int64), at.astype(np.int64) + size))
                     continue
                 for column, x in zip(columns, (_unplanes(row["h"], np.uint64), doc, fp, at, size), strict=True):
                     column.append(x)
-                bodies.append(row["body"])
+                bodies.append(_unsqueeze(row["body"]))
         if columns[0]:
             h, doc, fp, at, size = map(np.concatenate, columns)
             body = np.frombuffer(b"".join(bodies), np.uint8)
@@ -330,7 +342,7 @@ def _removable(n_buckets: int, p: Repeats, sort_bytes: int = 1 << 19):
             group = np.add.reduceat(size[order].astype(np.int64), new)
             for lo, hi in spans_of(group, sort_bytes):
                 a, b = new[lo], new[hi] if hi < len(new) else len(h)
-                spans += _sort_and_compare(body, begin, size, doc, fp, at, order[a:b], p)
+                spans += _sort_and_compare(body, begin, size, doc, fp, at, order[a:b], h[a:b], p)
         if not spans:
             return
         yield _pack_by_doc(*(np.concatenate(x) for x in zip(*spans, strict=True)), n_buckets)
@@ -338,16 +350,31 @@ def _removable(n_buckets: int, p: Repeats, sort_bytes: int = 1 << 19):
     return run
 
 
-def _sort_and_compare(body, begin, size, doc, fp, at, chosen, p: Repeats) -> list[tuple]:
-    """Runs (doc, fp, start, end) of the chosen contexts' windows that a smaller document has."""
+def _sort_and_compare(body, begin, size, doc, fp, at, chosen, h, p: Repeats) -> list[tuple]:
+    """Runs (doc, fp, start, end) of the windows of the chosen contexts (of anchors h) that a smaller document has."""
     texts: dict[bytes, int] = {}
     family = np.empty(len(chosen), np.int64)
     for n, (a, s) in enumerate(zip(begin[chosen].tolist(), size[chosen].tolist(), strict=True)):
         family[n] = texts.setdefault(body[a : a + s].tobytes(), len(texts))
-    if len(texts) == 1 and len(np.unique(doc[chosen])) == 1:
-        return []
     least = np.full(len(texts), np.iinfo(np.int64).max)
     np.minimum.at(least, family, doc[chosen])
+    out = []
+    # in every document but its family's least, a context goes as a whole
+    later = doc[chosen] > least[family]
+    c = chosen[later]
+    out.append((doc[c], fp[c], at[c].astype(np.int64), at[c].astype(np.int64) + size[c]))
+    # windows of different anchors differ: an anchor with one family has no more to compare
+    anchor = np.zeros(len(texts), np.uint64)
+    anchor[family] = h
+    _, number, kinds = np.unique(anchor, return_inverse=True, return_counts=True)
+    several = kinds[number] > 1
+    if not several.any():
+        return out
+    renamed = np.cumsum(several) - 1
+    texts = [t for t, ok in zip(texts, several.tolist(), strict=True) if ok]
+    least = least[several]
+    mine = several[family]
+    chosen, family, later = chosen[mine], renamed[family[mine]], later[mine]
     data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     first = np.cumsum(sizes + 1) - sizes - 1
@@ -360,11 +387,6 @@ def _sort_and_compare(body, begin, size, doc, fp, at, chosen, p: Repeats) -> lis
     new = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
     smallest = np.full(len(data), np.iinfo(np.int64).max)
     smallest[starts] = np.repeat(np.minimum.reduceat(least[owner[starts]], new), np.diff(np.append(new, len(starts))))
-    out = []
-    # in every document but its family's least, a context goes as a whole
-    later = doc[chosen] > least[family]
-    c = chosen[later]
-    out.append((doc[c], fp[c], at[c].astype(np.int64), at[c].astype(np.int64) + size[c]))
     partly = fits & (smallest < least[owner])
     hit = np.flatnonzero(partly)
     if len(hit):
@@ -396,38 +418,39 @@ def merged(runs) -> list[tuple[int, int]]:
 
 
 def find_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
-    """docs' rows as (doc_id long, text, copy boolean, runs array<long>, and all other columns).
+    """docs' rows as (doc_id long, text, copy boolean, runs array<long>, row: a struct of docs' columns but the text).
 
     runs covers the bytes of the UTF-8 text that lie in a string of p.length
     bytes which also starts in a row with a smaller doc_id; it may overlap itself.
     copy says that the whole text is one of a smaller doc_id: runs is then null.
     Texts shorter than p.length, null and empty ones have no runs. A null doc_id
     counts as larger than any other. Rows that repeat a doc_id do not affect each
-    other. Empty tables give empty results.
+    other. Empty tables give empty results; docs' columns may have any names.
     """
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    marked = docs.select(F.struct(*[docs[c] for c in rest]).alias("_rest") if rest else F.lit(0).alias("_rest"), docs["doc_id"].cast("long").alias("_given"), F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("_id"), docs["text"].cast("string").alias("_text"))
-    marked = marked.withColumns({"_fp": F.xxhash64("_text"), "_fp2": F.xxhash64("_text", F.lit(1)), "_n": F.coalesce(F.octet_length("_text"), F.lit(0))})
-    long_ = marked.where(F.col("_n") >= p.length)
-    ids = materialize(long_.groupBy("_fp", "_fp2").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most"), F.max("_n").alias("_size")), "texts")
+    row = F.struct(*(docs[c] for c in docs.columns if c != "text"))
+    marked = docs.select(row.alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), docs["text"].cast("string").alias("text"))
+    marked = marked.withColumns({"fp1": F.xxhash64("text"), "fp2": F.xxhash64(F.lit(1), "text"), "fp": F.hash("text"), "n": F.coalesce(F.octet_length("text"), F.lit(0))})
+    ids = materialize(marked.where(F.col("n") >= p.length).groupBy("fp1", "fp2").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"), F.max("n").alias("_size")), "texts")
     total, = ids.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()
-    copied = ids.where("_least < _most").select("_fp", "_fp2", "_least")
+    copied = ids.where("_least < _most").select(F.col("fp1").alias("_f1"), F.col("fp2").alias("_f2"), "_least")
     small = copied.count() <= p.broadcast_ids
     copied = F.broadcast(copied) if small else copied
-    flagged = marked.join(copied, ["_fp", "_fp2"], "left").withColumn("_copy", F.coalesce(F.col("_id") > F.col("_least"), F.lit(False)))
-    texts = flagged.where(~F.col("_copy") & (F.col("_n") >= p.length)).select(F.col("_id").alias("doc_id"), F.col("_fp").alias("fp"), F.encode("_text", "UTF-8").alias("text"))
+    flagged = marked.join(copied, (F.col("fp1") == F.col("_f1")) & (F.col("fp2") == F.col("_f2")), "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("_least"), F.lit(False)))
+    searched = ~F.col("copy") & (F.col("n") >= p.length)
+    texts = flagged.where(searched).select("doc_id", "fp", F.col("text").cast("binary").alias("text"), "row")
     n_buckets = max(12, -(-int(total) // (16 * p.anchors_in_bucket)))
-    packed = texts.mapInArrow(tidy(_anchor_rows(n_buckets, p)), "bucket int, known int, h binary, doc binary, fp binary, at binary")
-    by_doc = "doc_id long, fp long, runs array<long>"
-    places = packed.repartition(n_buckets, "bucket").mapInArrow(tidy(_shared_places(n_buckets)), PACKED)
-    places = places.repartition(n_buckets, "bucket").mapInArrow(tidy(_spans_by_doc), by_doc).withColumnRenamed("runs", "places")
-    involved = texts.join(places.withColumnsRenamed({"doc_id": "_d", "fp": "_f"}), (F.col("doc_id") == F.col("_d")) & (F.col("fp") == F.col("_f"))).select("doc_id", "fp", "text", "places")
+    packed = texts.select("doc_id", "fp", "text").mapInArrow(tidy(_anchor_rows(n_buckets, p)), "bucket int, known int, h binary, doc binary, fp binary, at binary")
+    by_doc = "_d long, _f int, runs array<long>"  # fp only tells rows apart that repeat a doc_id
+    one_each = lambda df: df.repartitionById(n_buckets, F.col("bucket"))
+    places = one_each(one_each(packed).mapInArrow(tidy(_shared_places(n_buckets)), PACKED)).mapInArrow(tidy(_spans_by_doc), by_doc)
+    # both joins take all columns of texts, so that its exchange is made once and read twice
+    same = (F.col("doc_id") == F.col("_d")) & (F.col("fp") == F.col("_f"))
+    involved = texts.join(places, same).select("doc_id", "fp", "text", "row", F.col("runs").alias("places"))
     contexts = involved.mapInArrow(tidy(_context_rows(n_buckets, p)), "bucket int, known int, h binary, doc binary, fp binary, at binary, size binary, body binary")
-    runs = contexts.repartition(n_buckets, "bucket").mapInArrow(tidy(_removable(n_buckets, p)), PACKED)
-    runs = runs.repartition(n_buckets, "bucket").mapInArrow(tidy(_spans_by_doc), by_doc)
-    runs = materialize(runs.withColumnRenamed("runs", "_runs"), "runs")
-    found = flagged.join(runs.withColumnsRenamed({"doc_id": "_d", "fp": "_f"}), (F.col("_id") == F.col("_d")) & (F.col("_fp") == F.col("_f")), "left")
-    return found.select(F.col("_given").alias("doc_id"), F.col("_text").alias("text"), F.col("_copy").alias("copy"), F.col("_runs").alias("runs"), *[F.col(f"_rest.`{c}`") for c in rest])
+    runs = one_each(one_each(contexts).mapInArrow(tidy(_removable(n_buckets, p)), PACKED)).mapInArrow(tidy(_spans_by_doc), by_doc)
+    given = F.col("row.doc_id").cast("long").alias("doc_id")
+    found = texts.join(runs, same, "left").select(given, F.col("text").cast("string").alias("text"), F.lit(False).alias("copy"), "runs", "row")
+    return found.unionByName(flagged.where(~searched).select(given, "text", "copy", F.lit(None).cast("array<long>").alias("runs"), "row"))
 
 
 def _kept(raw: bytes, copy: bool, runs) -> tuple[bytes, int, int]:
@@ -456,18 +479,19 @@ def digest_repeats(found: DataFrame) -> DataFrame:
             columns = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return found.select("doc_id", F.encode("text", "UTF-8").alias("text"), "copy", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.select("doc_id", F.col("text").cast("binary").alias("text"), "copy", "runs").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
     """docs with repeated bytes cut out of their texts, all columns kept; what a cut leaves of a character goes too."""
-    found = find_repeats(docs, p).select(*docs.columns, "copy", "runs")
-    names = docs.columns
-    at = names.index("text")
+    found = find_repeats(docs, p)
+    columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if t is None else _kept(t.encode(), c, r)[0].decode(errors="ignore") for t, c, r in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names)
+            texts, copies, runs, row = (batch.column(c) for c in ("text", "copy", "runs", "row"))
+            left = [None if t is None else _kept(t.encode(), c, r)[0].decode(errors="ignore") for t, c, r in zip(texts.to_pylist(), copies.to_pylist(), runs.to_pylist(), strict=True)]
+            others = dict(zip((f.name for f in row.type), row.flatten(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.string()) if c == "text" else others[c] for c in columns], columns)
 
-    return found.mapInArrow(run, docs.schema)
+    return found.select("text", "copy", "runs", "row").mapInArrow(tidy(run), docs.schema)
