@@ -9,9 +9,10 @@ log space; a text's is the product over its words and its end. A word begins
 with the vocabulary's space, so no piece crosses words; every byte is a piece, so
 every word has a segmentation.
 
-Counts of words can outgrow any machine. Words that are frequent, a bounded
-number of them, are sent to all executors; the others meet their counts in a
-shuffled join.
+Every distinct word passes through the lattice once, in a table of words with
+their counts. That table can outgrow any machine. Words that are frequent, a
+bounded number of them, are sent to all executors with count and weight; the
+others meet theirs in a shuffled join.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.common import Rolling, materialize, ship, spans_of, tidy
 from tidewright.llm.subword import DEFAULT_MODEL, Vocabulary, load_vocabulary
 
 LOG10_E = math.log10(math.e)
+#: Longer words are summed a run of so many bytes at a time, so that memory does not grow with a word.
+LONG_WORD = 1 << 16
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -51,9 +54,9 @@ class Lattice:
             order = np.argsort(hashes)
             self.tables[length] = hashes[order], np.array(ids, np.int64)[order]
 
-    def edges(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def edges(self, words: list[bytes], lead: bytes = b" ") -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece, place of the start in its word, first node of each word). A word of n bytes has n + 2 nodes."""
-        data = np.frombuffer(b"".join(b" " + w + b"\0" for w in words), np.uint8)  # the last byte stands for the last node
+        data = np.frombuffer(b"".join(lead + w + b"\0" for w in words), np.uint8)  # the last byte stands for the last node
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
         first = np.concatenate([[0], np.cumsum(sizes)])
         place = np.arange(len(data)) - np.repeat(first[:-1], sizes)
@@ -84,14 +87,38 @@ class Lattice:
             groups = new[np.searchsorted(new, lo) : np.searchsorted(new, hi)]
             into[target[groups]] = np.logaddexp.reduceat(into[other[lo:hi]] + weight[lo:hi], groups - lo)
 
-    def forward(self, words: list[bytes], logp: np.ndarray) -> np.ndarray:
-        """Natural log of each word's probability."""
-        if not words:
-            return np.zeros(0)
-        start, end, piece, place, first = self.edges(words)
-        alpha = np.zeros(first[-1])
-        self._sum(alpha, end, start, logp[piece], place[end])
-        return alpha[first[1:] - 1]
+    def forward(self, words: list[bytes], *logps: np.ndarray) -> list[np.ndarray]:
+        """Natural log of each word's probability, under each of logps."""
+        out = [np.zeros(len(words)) for _ in logps]
+        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+        if short:
+            start, end, piece, place, first = self.edges([words[i] for i in short])
+            for x, logp in zip(out, logps, strict=True):
+                alpha = np.zeros(first[-1])
+                self._sum(alpha, end, start, logp[piece], place[end])
+                x[short] = alpha[first[1:] - 1]
+        for i, word in enumerate(words):
+            if len(word) > LONG_WORD:
+                for x, logp in zip(out, logps, strict=True):
+                    x[i] = self._forward_long(word, logp)
+        return out
+
+    def _forward_long(self, word: bytes, logp: np.ndarray, block: int = LONG_WORD) -> float:
+        """forward() of one word by runs of its nodes; only the last nodes of a run are carried on."""
+        reach = max(self.tables)
+        s = b" " + word
+        tail = np.zeros(1)  # of the nodes just before and at the run's start
+        for at in range(0, len(s), block):
+            back = len(tail) - 1
+            part = s[at - back : at + block]
+            start, end, piece, _, _ = self.edges([part[1:]], part[:1])
+            new = end > back
+            start, end, piece = start[new], end[new], piece[new]
+            alpha = np.zeros(len(part) + 1)
+            alpha[: back + 1] = tail
+            self._sum(alpha, end, start, logp[piece], end)
+            tail = alpha[-min(reach, len(alpha)) :]
+        return float(tail[-1])
 
     def expected(self, words: list[bytes], counts: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words, which occur counts times."""
@@ -117,32 +144,50 @@ def usable_pieces(vocabulary: Vocabulary) -> tuple[list[bytes], np.ndarray]:
 
 
 def count_words(docs: DataFrame, entries: int = 300_000) -> DataFrame:
-    """(word, n) over whole texts; each task sums up what it can hold before the shuffle."""
+    """(word, n) of the words of docs (text binary, learns boolean): how often each stands in texts that are learned from.
+
+    Words of the other texts only have n 0. Each task sums up what it can hold before the shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(tokens_of(text.as_py() or b""))
+            for text, learns in zip(batch.column("text"), batch.column("learns").to_pylist(), strict=True):
+                words = tokens_of(text.as_py() or b"")
+                if learns:
+                    seen.update(words)
+                else:
+                    for w in words:
+                        seen[w] += 0
                 if len(seen) > entries:
                     yield _counts(seen)
                     seen.clear()
         yield _counts(seen)
 
-    rows = docs.select(F.encode(F.col("text").cast("string"), "UTF-8").alias("text")).mapInArrow(run, "word binary, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text", "learns").mapInArrow(tidy(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _counts(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def fit(counts: DataFrame, n_texts: int, vocabulary: Vocabulary, rounds: int = 2, smoothing: float = 0.05) -> tuple[list[bytes], np.ndarray, float]:
-    """(pieces, natural log of their probabilities, that of the end). One number a piece and task reaches the driver."""
+def _by_length(words: list[bytes]) -> Iterator[list[int]]:
+    """Places of words, shortest first, in runs that pass through the lattice at once."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    for lo, hi in spans_of(np.array([len(words[i]) + 2 for i in order]), 200_000):
+        yield order[lo:hi]
+
+
+def fit(counts: DataFrame, n_texts: int, vocabulary: Vocabulary, rounds: int = 2, smoothing: float = 0.05) -> tuple[list[bytes], list[tuple[np.ndarray, float]]]:
+    """(pieces, [(natural log of their probabilities, that of the end)]): the vocabulary's own weights, then the fitted ones.
+
+    counts are words of learning texts. One number a piece and task reaches the driver.
+    """
     spark = counts.sparkSession
     pieces, weight = usable_pieces(vocabulary)
     total = weight.sum()
     logp, end = np.log(weight / total * 0.99), math.log(0.01)
+    own = logp, end
     for _ in range(rounds):
         shared = ship(spark, (pieces, logp))
 
@@ -150,10 +195,12 @@ def fit(counts: DataFrame, n_texts: int, vocabulary: Vocabulary, rounds: int = 2
             names, now = shared()
             lattice, sums = Lattice(names), np.zeros(len(names))
             for batch in batches:
-                words, n = batch.column("word").to_pylist(), np.asarray(batch.column("n"))
-                order = sorted(range(len(words)), key=lambda i: len(words[i]))
-                for lo, hi in spans_of(np.array([len(words[i]) + 2 for i in order]), 200_000):
-                    sums += lattice.expected([words[i] for i in order[lo:hi]], n[order[lo:hi]], now)
+                words, n = batch.column("word").to_pylist(), batch.column("n").to_pylist()
+                # a very long word counts by runs, which bounds memory
+                runs = [(w[i : i + LONG_WORD], k) for w, k in zip(words, n, strict=True) for i in range(0, len(w), LONG_WORD)]
+                words, n = [w for w, _ in runs], np.array([k for _, k in runs], float)
+                for some in _by_length(words):
+                    sums += lattice.expected([words[i] for i in some], n[some], now)
             some = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some])], ["piece", "n"])
 
@@ -163,65 +210,101 @@ def fit(counts: DataFrame, n_texts: int, vocabulary: Vocabulary, rounds: int = 2
             expected[r["piece"]] += r["n"]
         total = expected.sum() + n_texts + smoothing
         logp, end = np.log(expected / total), math.log((n_texts + smoothing) / total)
-    return pieces, logp, end
+    return pieces, [own, (logp, end)]
 
 
-def score_texts(docs: DataFrame, learn: DataFrame, model_path: str = DEFAULT_MODEL, head_words: int = 100_000, rounds: int = 2) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row's whole text, plus docs' other columns but the text.
+def weigh_words(words: DataFrame, pieces: list[bytes], logps: list[np.ndarray]) -> DataFrame:
+    """words with own and fitted: log10 of each word's probability under the two weights."""
+    shared = ship(words.sparkSession, (pieces, logps))
 
-    Tokens are lower-cased (A-Z) words and one end; a null text is empty and has
-    just the end. base_score is the additive-smoothing baseline over words, score
-    the log10 of the lattice model's probability. learn may be empty: then no
-    token is known and the vocabulary's own weights score. Repeated rows
-    give repeated results; an empty table gives an empty result.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, now = shared()
+        lattice = Lattice(names)
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            out = np.zeros((2, len(words)))
+            for some in _by_length(words):
+                out[:, some] = lattice.forward([words[i] for i in some], *now)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), *(pa.array(x * LOG10_E) for x in out)], ["word", "n", "own", "fitted"])
+
+    return words.mapInArrow(tidy(run), "word binary, n long, own double, fitted double")
+
+
+def score_texts(docs: DataFrame, learns: Column, model_path: str = DEFAULT_MODEL, head_words: int = 100_000, rounds: int = 2) -> DataFrame:
+    """n_tokens, n_known, train_tokens, base_score, score and vocabulary_score of every row's whole text, after docs' other columns but the text.
+
+    The rows for which learns holds are learned from. Tokens are lower-cased
+    (A-Z) words and one end; a null text is empty and has just the end.
+    base_score is the additive-smoothing baseline over words, score the log10 of
+    the lattice model's probability, vocabulary_score the same under the
+    vocabulary's own weights, without what was learned. If nothing is learned
+    from, no token is known and score is vocabulary_score. Repeated rows
+    give repeated results; an empty table gives an empty result. A column of
+    docs that has the name of a result gives way to it.
     """
     spark = docs.sparkSession
-    counts = materialize(count_words(learn), "words")
-    n_texts = learn.select(F.lit(1)).count()
-    n_words, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    results = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "vocabulary_score")
+    rest = [c for c in docs.columns if c not in ("text", *results)]
+    given = docs.select(F.struct(F.lit(0).alias("_"), *(docs[c] for c in rest)).alias("rest"), F.col("text").cast("string").cast("binary").alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
+    counts = materialize(count_words(given), "counts")
+    n_texts = given.where("learns").count()
+    n_words, kinds = counts.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_all, v = n_words + n_texts, kinds + (n_texts > 0)
     z = n_all + 0.1 * (v + 1)
-    pieces, logp, end = fit(counts, n_texts, load_vocabulary(model_path), rounds)
+    pieces, weights = fit(counts.where("n > 0"), n_texts, load_vocabulary(model_path), rounds)
+    ends = [end * LOG10_E for _, end in (weights if n_all else [weights[0]] * 2)]
+    words = materialize(weigh_words(counts, pieces, [logp for logp, _ in (weights if n_all else [weights[0]] * 2)]), "words")
     # the least count at which at most head_words words are left
-    tally = counts.groupBy(F.least(F.col("n"), F.lit(5000)).alias("n")).agg(F.count("*").alias("kinds")).collect()
+    tally = words.groupBy(F.least(F.col("n"), F.lit(5000)).alias("n")).agg(F.count("*").alias("kinds")).collect()
     least, held = 5001, 0
     for r in sorted(tally, key=lambda r: -r["n"]):
         held += r["kinds"]
         if held > head_words:
             break
         least = r["n"]
-    head = {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}  # head_words rows at most
-    shared = ship(spark, (pieces, logp, end, head))
-    rest = [c for c in docs.columns if c != "text"]
+    # head_words rows at most
+    head = {bytes(r["word"]): (math.log10((r["n"] + 0.1) / z), r["n"] > 0, r["own"], r["fitted"]) for r in words.where(F.col("n") >= least).collect()}
+    shared = ship(spark, head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, now, last, frequent = shared()
-        lattice, memo = Lattice(names), {}
+        frequent = shared()
         for batch in batches:
-            for lo, hi in spans_of(np.array([len(t) if t else 0 for t in batch.column("text").to_pylist()]), 1 << 20):
-                part = batch.slice(lo, hi - lo)
-                texts = [Counter(tokens_of(t or b"")) for t in part.column("text").to_pylist()]
-                if len(memo) > 300_000:
-                    memo.clear()
-                fresh = sorted(set().union(*texts).difference(memo), key=len)
-                for a, b in spans_of(np.array([len(w) + 2 for w in fresh]), 200_000):
-                    memo.update(zip(fresh[a:b], lattice.forward(fresh[a:b], now).tolist(), strict=True))
-                columns: list[list] = [[] for _ in range(6)]
-                for words in texts:
-                    tail = [w for w in words if w not in frequent]
-                    known = {w: n for w, n in words.items() if w in frequent}
-                    base = sum(n * math.log10((frequent[w] + 0.1) / z) for w, n in known.items()) + math.log10((n_texts + 0.1) / z)
-                    values = (sum(words.values()) + 1, sum(known.values()) + (n_texts > 0), base, (sum(n * memo[w] for w, n in words.items()) + last) * LOG10_E, tail, [words[w] for w in tail])
-                    for column, value in zip(columns, values, strict=True):
+            texts = batch.column("text")
+            for lo, hi in spans_of(np.array([len(t) if t else 0 for t in texts.to_pylist()]), 1 << 20):
+                columns: list[list] = [[] for _ in range(7)]
+                for text in texts.slice(lo, hi - lo):
+                    found = Counter(tokens_of(text.as_py() or b""))
+                    known, base, own, fitted, tail, tail_n = 0, 0.0, 0.0, 0.0, [], []
+                    for w, n in found.items():
+                        facts = frequent.get(w)
+                        if facts is None:
+                            tail.append(w)
+                            tail_n.append(n)
+                        else:
+                            base += n * facts[0]
+                            known += n * facts[1]
+                            own += n * facts[2]
+                            fitted += n * facts[3]
+                    for column, value in zip(columns, (sum(found.values()) + 1, known, base, own, fitted, tail, tail_n), strict=True):
                         column.append(value)
-                kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("_row", *rest)] + [pa.array(c, k) for c, k in zip(columns, kinds_, strict=True)], ["_row", *rest, "_tokens", "_known", "_base", "_score", "_tail", "_tail_n"])
-
-    given = docs.select(F.monotonically_increasing_id().alias("_row"), *rest, F.encode(F.col("text").cast("string"), "UTF-8").alias("text"))
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema if f.name != "text")
-    scored = materialize(given.mapInArrow(tidy(run), f"{spec}, _tokens long, _known long, _base double, _score double, _tail array<binary>, _tail_n array<long>"), "scored")
-    tail = scored.select("_row", F.explode(F.arrays_zip("_tail", "_tail_n")).alias("t")).select("_row", F.col("t._tail").alias("word"), F.col("t._tail_n").alias("k"))
-    c = F.coalesce("n", F.lit(0))
-    tail = tail.join(counts.where(F.col("n") < least), "word", "left").groupBy("_row").agg(F.sum(F.col("k") * F.log10((c + 0.1) / z)).alias("_b"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("_k"))
-    out = scored.drop("_tail", "_tail_n").join(tail.withColumnRenamed("_row", "_r"), F.col("_row") == F.col("_r"), "left")
-    return out.select(*rest, F.col("_tokens").alias("n_tokens"), (F.col("_known") + F.coalesce("_k", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"), (F.col("_base") + F.coalesce("_b", F.lit(0.0))).alias("base_score"), F.col("_score").alias("score"))
+                kinds_ = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo) for c in ("row", "rest")] + [pa.array(c, k) for c, k in zip(columns, kinds_, strict=True)], ["row", "rest", "tokens", "known", "base", "own", "fitted", "tail", "tail_n"])
+
+    rows = given.select(F.monotonically_increasing_id().alias("row"), "rest", "text")
+    spec = f"row long, rest {rows.schema['rest'].dataType.simpleString()}, tokens long, known long, base double, own double, fitted double, tail array<binary>, tail_n array<long>"
+    scored = materialize(rows.mapInArrow(tidy(run), spec), "scored")
+    tail = scored.select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")).select("row", F.col("t.tail").alias("word"), F.col("t.tail_n").alias("k"))
+    k = F.col("k")
+    sums = (F.sum(k * F.log10((F.col("n") + 0.1) / z)).alias("_b"), F.sum(F.when(F.col("n") > 0, k).otherwise(0)).alias("_k"), F.sum(k * F.col("own")).alias("_o"), F.sum(k * F.col("fitted")).alias("_f"))
+    tail = tail.join(words.where(F.col("n") < least), "word").groupBy(F.col("row").alias("_r")).agg(*sums)
+    out = scored.drop("tail", "tail_n").join(tail, F.col("row") == F.col("_r"), "left")
+    zero = F.lit(0.0)
+    return out.select(
+        *(F.col(f"rest.`{c}`") for c in rest),
+        F.col("tokens").alias("n_tokens"),
+        (F.col("known") + F.coalesce("_k", F.lit(0)) + int(n_texts > 0)).alias("n_known"),
+        F.lit(n_all).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("_b", zero) + math.log10((n_texts + 0.1) / z)).alias("base_score"),
+        (F.col("fitted") + F.coalesce("_f", zero) + ends[1]).alias("score"),
+        (F.col("own") + F.coalesce("_o", zero) + ends[0]).alias("vocabulary_score"),
+    )

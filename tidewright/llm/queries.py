@@ -97,8 +97,7 @@ def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    learn = docs.where(~in_fold(10, 0) & F.col("doc_id").isNotNull())
-    return lattice_lm.score_texts(docs, learn).withColumn("held_out", in_fold(10, 0))
+    return lattice_lm.score_texts(docs, ~in_fold(10, 0) & F.col("doc_id").isNotNull()).withColumn("held_out", in_fold(10, 0))
 
 
 @query
