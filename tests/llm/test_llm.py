@@ -66,13 +66,44 @@ def test_near_duplicates_equal_brute_force(spark):
 
 
 def test_a_fruitless_pivot_does_not_end_the_search_for_links(spark):
-    hashed = spark.range(1, 4).select("id", F.xxhash64("id", F.lit(7).cast("long"), F.lit(0)).alias("h")).collect()
-    pivot = min(hashed, key=lambda r: r["h"])["id"]
+    near = BASE.rsplit(" ", 1)[0] + " w1"
     members = spark.createDataFrame([(7, i) for i in (1, 2, 3)], "key long, rep long")
-    facts = spark.createDataFrame([(i, 1000 if i == pivot else 56, [0] * 5) for i in (1, 2, 3)], "rep long, size long, signs array<long>")
-    source = spark.createDataFrame([(i, "a b c d e" if i == pivot else BASE) for i in (1, 2, 3)], "doc_id long, text string")
-    links = near_dedup._links(source, members, facts, near_dedup.NearDup())
-    assert [(r["a"], r["b"]) for r in links.collect()] == [tuple(sorted({1, 2, 3} - {pivot}))]
+    source = spark.createDataFrame([(1, "a b c d e"), (2, BASE), (3, near)], "doc_id long, text string")
+    hashes = source.select(F.col("doc_id").alias("rep"), *near_dedup._text_key(F.col("text")))
+    facts = hashes.selectExpr("rep", "CASE WHEN rep = 1 THEN 1000L ELSE 56L END AS size", "array(0L, 0L, 0L, 0L, 0L) AS signs", "text_a", "text_b")
+    for pivots in (1, 3):
+        links = near_dedup._links(source, members, facts, near_dedup.NearDup(pivots=pivots, pivot_rounds=1))
+        assert {(r["node"], r["label"]) for r in components.connected_components(links).collect()} == {(2, 2), (3, 2)}
+    links = near_dedup._links(source, members, facts, near_dedup.NearDup(pivot_rounds=0))
+    assert [(r["a"], r["b"]) for r in links.collect()] == [(2, 3)]
+
+
+def test_near_duplicates_just_over_the_line(spark):
+    """Recall at similarities of 0.80 to 0.82 and for small sets, against all pairs."""
+    draw = random.Random(9)
+    rows, n = [], 0
+    for size in [*range(2, 21), *[40, 120] * 8]:
+        for c in range(4):
+            words = [f"g{n}x{i}" for i in range(size + 1)]
+            n += 1
+            for keep in (0.80, 0.81, 0.9):
+                shingles = size + 0.0
+                changed = max(1, round((1 - keep) / (1 + keep) * shingles))  # a changed tail word changes one shingle
+                rows.append((10 * n + int(100 * keep) % 10, " ".join(words[: size + 1 - changed] + [f"h{n}{keep}{i}" for i in range(changed)])))
+    draw.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    want = brute.components(dict(rows), 2)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs_of(spark, rows), near_dedup.NearDup(words=2)).collect()}
+    assert len({i for i, c in want.items() if c != i}) > 50
+    assert got == want
+
+
+def test_keep_one_with_repeated_ids_and_clashing_columns(spark):
+    rows = [(1, BASE, 5, 1), (1, BASE, 4, 2), (1, "something else entirely " * 3, 3, 3), (2, BASE, 2, 4), (None, BASE, 1, 5), (None, BASE, 1, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _n int, _kept int").withColumn("_id", F.lit(1)).withColumn("text_a", F.lit("x"))
+    got = near_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(r["_kept"] for r in got.collect()) == [2, 3, 5, 6]
 
 
 def test_super_minhash_is_a_permutation_and_estimates():
@@ -107,15 +138,15 @@ def test_decontamination_equals_brute_force(spark):
     items = [(1, "one two three four five six seven eight nine ten eleven"), (2, "Short, item!"), (3, None), (4, ""), (5, "one two three four five six seven eight nine ten"), (None, "null id item here")]
     rows = [*ODD, (20, "x ONE two-three four five six seven eight nine ten; eleven y"), (21, "short item short item"), (22, "two three four five six seven eight nine ten eleven"), (23, "null id item here")]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for size in (16 << 20, 10):
-        found = decontaminate.find_contamination(docs_of(spark, [r for r in rows if r[0] != 6]), bench, block_bytes=size)
-        got = {r["doc_id"]: r for r in decontaminate.digest_hits(found).collect()}
-        for i, t in rows:
-            if i not in (6, None):
-                n, hit, ids = brute.hits(t, items)
-                ids = sorted("null" if x == "None" else x for x in ids)
-                assert (got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"], got[i]["contaminated"]) == (n, hit, len(ids), hit > 0)
-                assert got[i]["items_sha256"] == hashlib.sha256(",".join(ids).encode()).hexdigest()
+    for size in (4 << 20, 10):
+        found = decontaminate.find_contamination(docs_of(spark, rows), bench, block_bytes=size)
+        got = [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"], r["items_sha256"]) for r in decontaminate.digest_hits(found).collect()]
+        want = []
+        for i, t in rows:  # repeated and null ids too
+            n, hit, ids = brute.hits(t, items)
+            ids = sorted("null" if x == "None" else x for x in ids)
+            want.append((i, n, hit, len(ids), hit > 0, hashlib.sha256(",".join(ids).encode()).hexdigest()))
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
     left = decontaminate.drop_contaminated(docs_of(spark, rows), bench)
     assert {r["doc_id"] for r in left.collect()} == {i for i, t in rows if not brute.hits(t, items)[1]}
     assert decontaminate.find_contamination(docs_of(spark, rows), bench.where("false")).where("size(items) > 0").count() == 0
@@ -255,7 +286,8 @@ def test_lattice_sums_all_segmentations():
             parts.append(s[last:])
             if all(p in pieces for p in parts):
                 total += math.exp(sum(logp[pieces.index(p)] for p in parts))
-        assert lattice.forward([word], logp)[0] == pytest.approx(math.log(total))
+        assert lattice.forward([word], logp)[0][0] == pytest.approx(math.log(total))
+        assert all(lattice._forward_long(word, logp, block) == pytest.approx(math.log(total)) for block in (3, 4, 7))
     words = [b"ab", b"aba", b"b"]
     expected = lattice.expected(words, np.array([2, 1, 3]), logp)
     assert (expected * np.array([len(p) for p in pieces])).sum() == pytest.approx(2 * 3 + 4 + 3 * 2)
@@ -264,7 +296,10 @@ def test_lattice_sums_all_segmentations():
 def test_lm_scores(spark):
     rows = [*ODD, *((200 + i, " ".join(random.Random(i).choices(WORDS, k=30))) for i in range(40))]
     learn = [r for r in rows if r[0] is not None and r[0] % 3]
-    got = lattice_lm.score_texts(docs_of(spark, rows).select("doc_id", "text", "key"), docs_of(spark, learn), head_words=10).collect()
+    docs = docs_of(spark, rows).withColumns({"n_tokens": F.lit("x"), "_row": F.lit(1), "rest": F.lit(2)})
+    scored = lattice_lm.score_texts(docs, F.col("doc_id") % 3 > 0, head_words=10)
+    assert len(set(scored.columns)) == len(scored.columns)
+    got = scored.collect()
     counts = {}
     for _, t in learn:
         for w in (t or "").encode().lower().split() + [None]:
@@ -277,8 +312,21 @@ def test_lm_scores(spark):
         want.append((i, len(w), sum(x in counts for x in w), n, round(sum(math.log10((counts.get(x, 0) + 0.1) / z) for x in w), 6)))
     key = lambda r: (r[0] is None, r)
     assert sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got), key=key) == sorted(want, key=key)
-    assert all(r["score"] < 0 for r in got)
-    assert lattice_lm.score_texts(docs_of(spark, rows).select("doc_id", "text"), docs_of(spark, [])).count() == len(rows)
+    assert all(r["score"] < 0 and r["vocabulary_score"] < 0 for r in got)
+    # score is the sum of its words' and its end's, whichever way a word takes
+    whole = {r["doc_id"]: r["score"] for r in lattice_lm.score_texts(docs_of(spark, rows), F.col("doc_id") % 3 > 0, head_words=10_000).collect()}
+    assert all(whole[r["doc_id"]] == pytest.approx(r["score"]) for r in got)
+    none = lattice_lm.score_texts(docs_of(spark, rows).select("doc_id", "text"), F.lit(False)).collect()
+    assert len(none) == len(rows) and all(r["n_known"] == 0 and r["score"] == r["vocabulary_score"] for r in none)
+    assert lattice_lm.score_texts(docs_of(spark, []), F.lit(True)).count() == 0
+
+
+def test_a_very_long_word_has_bounded_memory():
+    lattice = lattice_lm.Lattice([bytes([b]) for b in range(256)] + [b"abc", b" ab"])
+    logp = np.log(np.full(258, 1 / 258))
+    word = b"abc" * 40_000
+    per = lattice.forward([b"abc" * 100, b"abc" * 200, word], logp)[0]
+    assert per[2] == pytest.approx(per[0] + (per[1] - per[0]) / 100 * 39_900, rel=1e-6)
 
 
 def test_toxicity_on_held_out_and_odd_rows(spark):
@@ -361,6 +409,10 @@ def test_repeats_equal_brute_force(spark):
     cut = repeat_removal.remove_repeats(docs_of(spark, rows))
     assert cut.columns == docs_of(spark, []).columns and cut.count() == len(rows)
     assert repeat_removal.find_repeats(docs_of(spark, [])).count() == 0
+    clash = docs_of(spark, rows).withColumns({c: F.lit(i) for i, c in enumerate(("copy", "runs", "row", "fp", "_least", "places"))})
+    again = repeat_removal.remove_repeats(clash)
+    assert again.columns == clash.columns
+    assert sorted(map(repr, again.select("doc_id", "text", "copy", "places").collect())) == sorted(map(repr, cut.selectExpr("doc_id", "text", "0 AS copy", "5 AS places").collect()))
 
 
 @settings(max_examples=200, deadline=None)
