@@ -9,6 +9,7 @@ from tidewright.config import Params
 from tidewright.functions import licenses, numbers, packages, urls
 from tidewright.operators import graph, joins, quality, reshape, stats, windows
 from tidewright.sources import readers, sinks
+from tidewright.streaming import incremental
 
 
 def column(spark, values, kind="double"):
@@ -60,6 +61,27 @@ def test_running_total_spans_ranges(spark):
         assert (r["k"], r["cum"], r["place"]) == (k, total, n)
 
 
+def test_running_total_cuts_a_hot_value_and_a_hot_key(spark):
+    df = spark.createDataFrame([("hot" if i % 10 else f"k{i}", i, 0 if i % 9 else i) for i in range(4000)], "g string, k int, v long")
+    got = windows.running_total(df, "v", "k", ["g"], ranges=16)
+    assert got.where("g = 'hot'").count() == 3600
+    rows = sorted(((r["v"], r["k"], r["cum"], r["place"], r["rows"]) for r in got.where("g = 'hot'").collect()), key=lambda r: r[3])
+    total = 0
+    for n, (r, (v, k)) in enumerate(zip(rows, sorted(((r[0], r[1]) for r in rows), key=lambda x: (-x[0], x[1])), strict=True), 1):
+        total += v
+        assert r == (v, k, total, n, 3600)
+    ties = windows.tied(windows.running_total(df, "v", "k"), "v")
+    assert ties.where("v = 0").agg({"cum_tied": "min"}).first()[0] == df.agg({"v": "sum"}).first()[0]
+
+
+def test_a_complete_stream_of_several_batches_gives_its_last_result(spark, tmp_path):
+    for i in range(3):
+        spark.createDataFrame([("a", i), ("b", i)], "k string, v int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    counts = incremental.drain(stream.groupBy("k").count(), "complete")
+    assert sorted(map(tuple, counts.collect())) == [("a", 3), ("b", 3)]
+
+
 def test_closure_with_cycle_loop_and_unknown(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 3), (9, 1), (2, 77)], "src int, dst int")
     seeds = spark.createDataFrame([(1,), (50,)], "node int")

@@ -6,33 +6,25 @@ spark.checkpoint.dir, so that plans stay small and lost executors cost one round
 
 from __future__ import annotations
 
-import os
-import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidewright-checkpoints"))
-    return df.checkpoint()
+from tidewright.lineage import cut
 
 
 def closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, depth): everything reachable from seeds (node) over edges (src, dst), at its least distance."""
     edges = edges.select("src", "dst").distinct()
-    seen = _cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
+    seen = cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     frontier, depth = seen, 0
     while True:
         depth += 1
         step = edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
-        fresh = _cut(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
+        fresh = cut(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
             return seen
-        seen = _cut(seen.unionByName(fresh))
+        seen = cut(seen.unionByName(fresh))
         frontier = fresh
 
 
@@ -56,13 +48,13 @@ def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds:
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).union(vertices.select("node")).distinct()
     given = vertices.groupBy("node").agg(F.sum("weight").alias("w"))
     nodes = nodes.join(given, "node", "left").join(edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("out")), "node", "left")
-    nodes = _cut(nodes.select("node", F.coalesce("w", F.lit(0.0)).cast("double").alias("w"), "out"))
+    nodes = cut(nodes.select("node", F.coalesce("w", F.lit(0.0)).cast("double").alias("w"), "out"))
     n, total = nodes.agg(F.count("*"), F.sum("w")).first()
     if not n:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     share = F.col("w") / float(total) if total else F.lit(1.0 / n)
     nodes = nodes.select("node", share.alias("p"), "out")
-    links = _cut(edges.join(nodes.select(F.col("node").alias("src"), "out"), "src"))
+    links = cut(edges.join(nodes.select(F.col("node").alias("src"), "out"), "src"))
     ranks = nodes.withColumn("rank", F.lit(1.0 / n))
     for i in range(rounds or 100):
         sent = links.join(ranks.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("out")).alias("got"))
@@ -70,7 +62,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds:
         after = ranks.withColumnRenamed("rank", "old").join(sent, "node", "left").crossJoin(F.broadcast(loose))
         after = after.withColumn("rank", alpha * (F.coalesce("got", F.lit(0.0)) + F.col("loose") * F.col("p")) + (1 - alpha) * F.col("p"))
         if rounds is None:
-            after = _cut(after)
+            after = cut(after)
             change = after.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
             ranks = after.select("node", "p", "out", "rank")
             if change < n * tolerance:
@@ -78,7 +70,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds:
         else:
             ranks = after.select("node", "p", "out", "rank")
             if (i + 1) % cut_every == 0:
-                ranks = _cut(ranks)
+                ranks = cut(ranks)
     return ranks.select("node", "rank")
 
 
@@ -87,12 +79,12 @@ def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     both = edges.select("src", "dst").union(edges.select("dst", "src")).where("src is not null and dst is not null").distinct()
     own = both.select(F.col("src").alias("node"))
     own = (own.union(nodes.select("node")) if nodes is not None else own).distinct()
-    both, labels = _cut(both), _cut(own.withColumn("label", F.col("node")))
+    both, labels = cut(both), cut(own.withColumn("label", F.col("node")))
     while True:
         near = both.join(labels.select(F.col("node").alias("dst"), F.col("label").alias("l")), "dst").groupBy(F.col("src").alias("node")).agg(F.min("l").alias("l"))
         lower = labels.join(near, "node", "left").select("node", F.least("label", "l").alias("label"), F.col("label").alias("old"))
         jump = lower.select(F.col("node").alias("n2"), F.col("label").alias("l2"))
-        lower = _cut(lower.join(jump, F.col("label") == F.col("n2")).select("node", F.least("label", "l2").alias("label"), "old"))
+        lower = cut(lower.join(jump, F.col("label") == F.col("n2")).select("node", F.least("label", "l2").alias("label"), "old"))
         labels = lower.select("node", "label")
         if lower.where("label != old").isEmpty():
             return labels

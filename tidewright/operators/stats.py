@@ -36,10 +36,14 @@ def mean_populated(value: str) -> Column:
 
 def ln_minmax(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """ln(value) scaled to 0..1 within keys, over values above 0; a single level scales to 0."""
-    w = Window.partitionBy(*keys)
     rows = df.where(F.col(value) > 0).withColumn("_l", F.ln(value))
-    span = F.max("_l").over(w) - F.min("_l").over(w)
-    return rows.withColumn(out, (F.col("_l") - F.min("_l").over(w)) / F.when(span == 0, 1.0).otherwise(span)).drop("_l")
+    limits = rows.groupBy(*(F.col(k).alias(f"_key_{k}") for k in keys)).agg(F.min("_l").alias("_lo"), F.max("_l").alias("_hi"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    span = F.col("_hi") - F.col("_lo")
+    scaled = rows.join(limits, same).withColumn(out, (F.col("_l") - F.col("_lo")) / F.when(span == 0, 1.0).otherwise(span))
+    return scaled.drop("_l", "_lo", "_hi", *(f"_key_{k}" for k in keys))
 
 
 def pnorm_score(df: DataFrame, key: str, normal: str, out: str, p: float = 2.0) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewright.config import PARAMS, Params
 from tidewright.functions import numbers as N
+from tidewright.lineage import cut
 from tidewright.operators import stats
 from tidewright.operators import windows as W
 
@@ -15,6 +16,7 @@ def value(repos: DataFrame, shipped: DataFrame, packages: DataFrame, p: Params =
     """(repo, value_score): pro-rata blend of criticality, ecosystem flag, best position and dependency mass."""
     per = shipped.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("q"))  # below the join: far fewer rows meet
     mass = per.join(packages, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_suppkey").alias("repo"), F.col("p_brand").alias("eco")).agg(F.sum("q").alias("mass"))
+    mass = cut(mass)
     placed = W.running_total(mass, "mass", "repo", ["eco"])
     top = placed.groupBy("repo").agg(F.max(100 - 100 * F.col("cum") / F.col("total")).alias("top"))
     score = stats.pnorm_score(stats.ln_minmax(mass, ["eco"], "mass", "n"), "repo", "n", "pr")
@@ -33,7 +35,7 @@ def risk(shipped: DataFrame, orders: DataFrame, p: Params = PARAMS) -> DataFrame
     x = shipped.groupBy(F.col("l_suppkey").alias("repo")).agg(
         F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 6).alias("loc"), F.count_distinct(cve).alias("cve"), F.round(F.sum("l_quantity") / F.count_distinct("l_orderkey"), 6).alias("load")
     )
-    x = W.risk_percentile(W.risk_percentile(W.floor_anchored(x, "cve", "s"), "loc", "c"), "load", "w")
+    x = W.percentiles(x, {"s": ("cve", "floor"), "c": ("loc", "high"), "w": ("load", "high")})
     x = x.select("repo", F.round("c", 2).alias("complexity"), F.round("s", 2).alias("security"), F.round("w", 2).alias("workload"))
     rows = b.join(x, "repo")
     return rows.withColumn("risk_score", N.geometric_mean(*map(F.col, ("concentration", "complexity", "security", "workload"))))
@@ -52,7 +54,7 @@ def eligibility(repos: DataFrame) -> DataFrame:
 
 def final(eligible: DataFrame, value_: DataFrame, risk_: DataFrame) -> DataFrame:
     """Every repository; score = sqrt(value x risk); priority 1..n over eligible rows with a score, ties by repo."""
-    rows = eligible.join(value_, "repo", "left").join(risk_, "repo", "left").withColumn("s", F.sqrt(F.col("value_score") * F.col("risk_score")))
+    rows = cut(eligible.join(value_, "repo", "left").join(risk_, "repo", "left").withColumn("s", F.sqrt(F.col("value_score") * F.col("risk_score"))))
     ranked = rows.where("eligible and s is not null").select("repo", F.round("s", 9).alias("v"))
     ranked = W.running_total(ranked, "v", "repo").select("repo", F.col("place").cast("long").alias("priority"))
     out = rows.join(ranked, "repo", "left")

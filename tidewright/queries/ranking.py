@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions import numbers as N
@@ -20,7 +20,7 @@ def downloads(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT s_suppkey, round(100 * cume_dist() OVER (ORDER BY floor(s_acctbal / 500)), 6) AS high_worse, round(100 * cume_dist() OVER (ORDER BY floor(s_acctbal / 500) DESC), 6) AS low_worse, NULL::DOUBLE AS constant FROM supplier WHERE s_acctbal > 0 UNION ALL SELECT s_suppkey, NULL, NULL, NULL FROM supplier WHERE s_acctbal <= 0")
 def risk_percentile(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_suppkey", F.when(F.col("s_acctbal") > 0, F.floor(F.col("s_acctbal") / 500)).alias("v"), F.lit(1).alias("one"))
-    s = W.risk_percentile(W.risk_percentile(W.risk_percentile(s, "v", "h"), "v", "l", higher_is_worse=False), "one", "constant")
+    s = W.percentiles(s, {"h": ("v", "high"), "l": ("v", "low"), "constant": ("one", "high")})
     return s.select("s_suppkey", F.round("h", 6).alias("high_worse"), F.round("l", 6).alias("low_worse"), F.col("constant").cast("double").alias("constant"))
 
 
@@ -40,7 +40,7 @@ SELECT p_partkey, coalesce(pa, CASE WHEN pb IS NOT NULL THEN 50 END)::DOUBLE AS
 """)
 def neutral_fill(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.col("p_size")).alias("a"), F.col("p_retailprice").alias("b"))
-    v = W.risk_percentile(W.risk_percentile(v, "a", "pa"), "b", "pb")
+    v = W.percentiles(v, {"pa": ("a", "high"), "pb": ("b", "high")})
     a, b = F.round("pa", 2), F.round("pb", 2)
     filled = F.when(a.isNull() & b.isNotNull(), 50.0).otherwise(a)
     return v.select("p_partkey", filled.alias("a_p"), b.alias("b_p"), F.round(F.greatest(F.lit(1.0), N.geometric_mean(filled, b)), 2).alias("score"))
@@ -58,7 +58,7 @@ def top_share_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query(DOWNLOADS + "SELECT k, round(sum(v) OVER (ORDER BY v DESC RANGE UNBOUNDED PRECEDING) / total, 8) AS share FROM c")
 def cum_share_range(spark: SparkSession, d: str) -> DataFrame:
-    return W.running_total(downloads(spark, d), "v", "k").select("k", F.round(F.col("cum_tied") / F.col("total"), 8).alias("share"))
+    return W.tied(W.running_total(downloads(spark, d), "v", "k"), "v").select("k", F.round(F.col("cum_tied") / F.col("total"), 8).alias("share"))
 
 
 @query(DOWNLOADS + "SELECT k, round(v / total, 8) AS share, CASE WHEN cum / total <= 0.75 THEN 'A' WHEN cum / total <= 0.95 THEN 'B' ELSE 'C' END AS class FROM c")
@@ -91,8 +91,8 @@ def priority_rank(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey)::INT AS eco_priority FROM customer")
 def eco_priority_rank(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("c_mktsegment").orderBy(F.desc("c_acctbal"), "c_custkey")
-    return table(spark, d, "customer").select("c_custkey", "c_mktsegment", F.row_number().over(w).alias("eco_priority"))
+    rows = W.running_total(table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), "c_acctbal", "c_custkey", ["c_mktsegment"])
+    return rows.select("c_custkey", "c_mktsegment", F.col("place").cast("int").alias("eco_priority"))
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")

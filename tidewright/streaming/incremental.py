@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{os.path.join(tempfile.gettempdir(), 'tidewright-streams')}"
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+from tidewright.lineage import shared_folder
 
 
 def drain(stream: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
-    """Run a stream over what is there now and return its rows from a table in the shared folder."""
+    """Run a stream over what is there now and return its rows from a table in the shared folder.
+
+    In complete mode every batch is a whole result and replaces the one before: the last one's rows are
+    returned, none if there was no batch. A batch that is tried again overwrites its own folder.
+    """
     spark = stream.sparkSession
-    out = _folder(spark, name)
+    out = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     if mode == "append":
         stream.writeStream.format("parquet").option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start(out).awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
+    if mode != "complete":
+        raise ValueError(f"{mode} would need a keyed merge of batches")
+    done: list[int] = []
 
     def keep(batch: DataFrame, n: int) -> None:
-        batch.write.parquet(f"{out}/{n}")
+        batch.write.mode("overwrite").parquet(f"{out}/{n}")
+        done.append(n)
 
     stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/*")
+    return spark.read.schema(stream.schema).parquet(f"{out}/{max(done)}") if done else spark.createDataFrame([], stream.schema)
 
 
 def bucket_counts(events: DataFrame, at: str, key: str, every: str, late: str) -> DataFrame:
