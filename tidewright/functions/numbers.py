@@ -79,3 +79,11 @@ def backing_score(kind: Column) -> Column:
 def snake_case(c: Column) -> Column:
     words = F.regexp_replace(c, r"([a-z0-9])([A-Z])", "$1_$2")
     return F.trim(F.lower(F.regexp_replace(words, r"[^A-Za-z0-9]+", "_")), F.lit("_"))
+
+
+def place_in(value: Column, order: tuple[str, ...]) -> Column:
+    """The value's place in a fixed order; values outside it come after all of it."""
+    out = F.lit(len(order))
+    for n, name in reversed(list(enumerate(order))):
+        out = F.when(value == name, n).otherwise(out)
+    return out

@@ -96,3 +96,8 @@ def contract(edges: DataFrame, mapping: DataFrame) -> DataFrame:
     dst = mapping.select(F.col("node").alias("dst"), F.col("group").alias("_d"))
     mapped = edges.join(src, "src", "left").join(dst, "dst", "left").select(F.coalesce("_s", "src").alias("src"), F.coalesce("_d", "dst").alias("dst"))
     return mapped.where("src != dst").distinct()
+
+
+def of_known(ranks: DataFrame, known: DataFrame) -> DataFrame:
+    """Ranks of nodes that known (node) has; the others have passed their mass on and go."""
+    return ranks.join(known.select("node").distinct(), "node", "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.operators.windows import first_by
@@ -46,3 +46,21 @@ def format_cell(value: str):
     c = F.col(value).cast("double")
     odd = F.isnan(c) | c.isin(float("inf"), float("-inf"))
     return F.when(c.isNull() | odd, "").when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
+
+
+def numeric_profile(df: DataFrame, share: float = 0.8, ends: int = 5) -> DataFrame:
+    """(name, n, negative, smallest, largest) of the columns of which at least that share of the non-blank cells are numbers.
+
+    smallest and largest hold `ends` values each; every task keeps only its own few before they are put together.
+    """
+    cells = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.trim(F.col(c).cast("string")).alias("cell")) for c in df.columns))).alias("e")).select("e.*").where("cell <> ''")
+    x = cells.withColumn("x", F.col("cell").try_cast("double"))
+    sums = x.groupBy("name").agg(F.count("*").alias("cells"), F.count("x").alias("n"), F.sum((F.col("x") < 0).cast("long")).alias("negative")).where(F.col("n") >= share * F.col("cells"))
+    part = F.spark_partition_id().alias("part")
+    out = sums
+    for name, order in (("smallest", F.asc("x")), ("largest", F.desc("x"))):
+        own = x.where("x IS NOT NULL").select("name", "x", part).withColumn("r", F.row_number().over(Window.partitionBy("name", "part").orderBy(order))).where(F.col("r") <= ends)
+        few = own.withColumn("r", F.row_number().over(Window.partitionBy("name").orderBy(order))).where(F.col("r") <= ends)
+        ranked = few.groupBy("name").agg(F.sort_array(F.collect_list("x"), asc=name == "smallest").alias(name))
+        out = out.join(ranked, "name")
+    return out.select("name", "n", "negative", "smallest", "largest")

@@ -65,8 +65,8 @@ def truncated_json_rescue(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT key, max_by(v, n)::BIGINT AS v FROM (SELECT lower(trim(c_mktsegment)) AS key, c_custkey AS v, c_custkey AS n FROM customer) GROUP BY 1")
 def keyed_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "customer").coalesce(1).sortWithinPartitions("c_custkey").select(F.concat(F.lit(" "), F.col("c_mktsegment")).alias("key"), F.col("c_custkey").alias("v"))
-    return readers.last_by_key(rows, "key", lower=True)
+    rows = table(spark, d, "customer").select(F.concat(F.lit(" "), F.col("c_mktsegment")).alias("key"), F.col("c_custkey").alias("v"))
+    return readers.last_by_key(rows, "key", F.col("v"), lower=True)
 
 
 @query("SELECT s_suppkey, '{\"s_name\":\"' || s_name || '\",\"s_nationkey\":' || s_nationkey || '}' AS json FROM supplier")

@@ -22,18 +22,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def reject_pointers(spark: SparkSession, path: str) -> None:
-    """Raise ValueError if a file holds a large-file pointer and not its data."""
-    found = spark.read.text(path).where(F.col("value").startswith(POINTER)).select(F.input_file_name().alias("f")).limit(3).collect()
+    """Raise ValueError if a file holds a large-file pointer and not its data. Pointers are small: contents of larger files are not read."""
+    small = spark.read.format("binaryFile").load(path).where(F.col("length") < 1024)
+    found = small.where(F.col("content").cast("string").startswith(POINTER)).select("path").limit(3).collect()
     if found:
-        raise ValueError(f"pointers instead of data: {[r['f'] for r in found]}")
+        raise ValueError(f"pointers instead of data: {[r['path'] for r in found]}")
 
 
-def last_by_key(df: DataFrame, key: str, lower: bool = False) -> DataFrame:
-    """One row a trimmed key, the last read; rows with a blank key are dropped."""
+def last_by_key(df: DataFrame, key: str, order: Column, lower: bool = False) -> DataFrame:
+    """One row a trimmed key, the last by order; rows with a blank key are dropped."""
     k = F.nullif(F.trim(F.col(key)), F.lit(""))
-    rows = df.withColumn(key, F.lower(k) if lower else k).where(F.col(key).isNotNull()).withColumn("_n", F.monotonically_increasing_id())
     rest = [c for c in df.columns if c != key]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "_n").alias("r")).select(key, *[F.col(f"r.{c}") for c in rest])
+    rows = df.select((F.lower(k) if lower else k).alias("_key"), F.struct(*rest).alias("_row"), order.alias("_at")).where(F.col("_key").isNotNull())
+    return rows.groupBy("_key").agg(F.max_by("_row", "_at").alias("_row")).select(F.col("_key").alias(key), *[F.col(f"_row.{c}") for c in rest])
 
 
 def stanzas(lines: DataFrame) -> DataFrame:
