@@ -152,8 +152,9 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.find_contamination(docs_of(spark, rows), bench.where("false")).where("size(items) > 0").count() == 0
 
 
-def test_decontamination_gives_the_rows_of_its_sql(spark):
-    same(QUERIES["op3_decontaminate"](spark, SF), connect(SF), ORACLES["op3_decontaminate"])
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_gives_the_rows_of_its_sql(spark, name):
+    same(QUERIES[name](spark, SF), connect(SF), ORACLES[name])
 
 
 def test_sharding_is_whole_gapless_and_even(spark):

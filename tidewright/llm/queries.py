@@ -43,6 +43,22 @@ def op10_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_trees.digest_formatted(chat_trees.format_paths(paths)).withColumnRenamed("tree", "conv_id")
 
 
+ORACLES["op10_chat_trees"] = r"""
+WITH r AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n,
+         len(regexp_extract_all(text, '\\|<\|start\|>|<\|message\|>|<\|end\|>|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS marks FROM r
+), c AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY n) AS said,
+         coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '') AS loss,
+         sum(length('<|start|><|message|><|end|>') + length(role) + length(text) + marks) AS formatted FROM t GROUP BY 1
+)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars FROM c
+"""
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -87,6 +103,25 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), near_dedup.NearDup(words=2))
 
 
+ORACLES["op2_near_dedup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) > 1 THEN w[i] || ' ' || w[i + 1] ELSE w[1] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM doc WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1
+), sized AS (SELECT shingle.*, n FROM shingle JOIN size USING (doc_id)
+), link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM sized a JOIN sized b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), walk(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT walk.x, edge.y FROM walk JOIN edge ON walk.y = edge.x
+), component AS (SELECT x AS doc_id, min(y) AS c FROM walk GROUP BY 1
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept FROM documents JOIN component USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
+
+
 @query
 def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = {c: kd_sharding.category(c) for c in ("lang", "source")}
@@ -103,3 +138,24 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_removal.digest_repeats(repeat_removal.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+ORACLES["op9_repeat_removal"] = """
+WITH doc AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS raw, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), place AS (
+  SELECT doc_id, i, raw[i + 1:i + 50] AS s FROM (SELECT doc_id, raw, unnest(range(0, n - 49)) AS i FROM doc WHERE n >= 50)
+), first AS (SELECT s, min(doc_id) AS least FROM place GROUP BY 1 HAVING count(*) > 1
+), hit AS (SELECT doc_id, i FROM place JOIN first USING (s) WHERE least < doc_id
+), marked AS (SELECT doc_id, i, coalesce(i - lag(i) OVER w > 50, true) AS new FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM marked
+), span AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY 1, 2
+), cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS upto FROM span
+), part AS (
+  SELECT doc_id, string_agg(substr(h, 2 * upto + 1, 2 * (a - upto)), '' ORDER BY a) AS head, max(b) AS last, sum(b - a) AS removed, count(*) AS spans
+  FROM cut JOIN doc USING (doc_id) GROUP BY 1
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM doc LEFT JOIN part USING (doc_id)
+"""
