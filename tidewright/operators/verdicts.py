@@ -53,10 +53,10 @@ def yank_verdicts(packages: DataFrame, names: DataFrame, defaults: DataFrame, ve
 
 
 def mean_budget(df: DataFrame, prefix: str, out: str) -> DataFrame:
-    """Adds the mean of the non-blank columns of that prefix, rounded to cents; 0 if there are none."""
+    """Adds the mean of the non-blank columns of that prefix; 0 if there are none. Cents are a matter of formatting."""
     values = F.array_compact(F.array(*(F.trim(F.col(c).cast("string")).try_cast("double") for c in df.columns if c.startswith(prefix))))
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    return df.withColumn(out, F.when(F.size(values) > 0, F.round(total / F.size(values), 2)).otherwise(0.0))
+    return df.withColumn(out, F.when(F.size(values) > 0, total / F.size(values)).otherwise(0.0))
 
 
 def money(df: DataFrame, cents: dict[str, str]) -> DataFrame:

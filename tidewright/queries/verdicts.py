@@ -140,14 +140,14 @@ def yank_verdict(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 WITH y AS (SELECT o_custkey AS account, sum(CASE WHEN year(o_orderdate) = 1996 THEN round(o_totalprice * 100) END) AS a, sum(CASE WHEN year(o_orderdate) = 1997 THEN round(o_totalprice * 100) END) AS b, sum(CASE WHEN year(o_orderdate) = 1998 THEN round(o_totalprice * 100) END) AS c FROM orders GROUP BY 1)
-SELECT account, round(coalesce((coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / 100 / nullif((a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT, 0), 0), 1) AS budget FROM y
+SELECT account, round(coalesce((coalesce(a, 0) + coalesce(b, 0) + coalesce(c, 0)) / 100 / nullif((a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT, 0), 0), 4) AS budget FROM y
 """)
 def mean_annual_budget(spark: SparkSession, d: str) -> DataFrame:
     """Cents of a year to units, then the mean over the years that have any."""
     cents = F.round(F.col("o_totalprice") * 100)
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("account")).agg(*(F.sum(F.when(F.year("o_orderdate") == y, cents)).alias(f"c{y}") for y in (1996, 1997, 1998)))
     o = verdicts.money(o, {f"raised_{y}": f"c{y}" for y in (1996, 1997, 1998)})
-    return verdicts.mean_budget(o, "raised_", "budget").select("account", F.round("budget", 1).alias("budget"))
+    return verdicts.mean_budget(o, "raised_", "budget").select("account", F.round("budget", 4).alias("budget"))
 
 
 @query("""
