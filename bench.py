@@ -17,7 +17,7 @@ from tidewright.queries import QUERIES
 HEADLINE = (
     "final_score", "value_score", "risk_score", "bus_factor_hhi", "top_share_tie_inclusive", "class_by_share", "repo_eco_class", "pnorm_mass",
     "risk_percentile", "group_collapse_multi", "two_level_sum", "count_distinct_window", "asof_backward_year", "all_years_division",
-    "merge_urls_priority", "url_classify", "authority_chain", "yank_verdict", "latest_per_key", "quality_rules", "pagerank_k", "dep_closure", "identity_components",
+    "merge_urls_priority", "url_classify", "yank_verdict", "latest_per_key", "quality_rules", "pagerank_k", "dep_closure", "identity_components",
 )
 
 

@@ -43,16 +43,17 @@ def resolve_authority(rows: DataFrame, key: str, bad_urls: DataFrame, bad_slugs:
 
     listed = F.concat(*(of_source(n, s) for n, s in enumerate(SOURCES)))
     found = rows.select(F.col(key).alias("_key"), F.posexplode(listed).alias("at", "c")).where(F.col("c.url").isNotNull())
-    found = found.select("_key", "at", "c.rank", "c.source", classify_url(F.col("c.url")).alias("k")).select("_key", "at", "rank", "source", "k.platform", F.col("k.canonical").alias("url")).where("platform != ''")
+    found = found.select("_key", "at", "c.rank", "c.source", "c.url").withColumn("k", classify_url(F.col("url"))).select("_key", "at", "rank", "source", "k.platform", F.col("k.canonical").alias("url")).where("platform != ''")
     found = mark_invalid(found, "url", bad_urls, bad_slugs)
     best = found.groupBy("_key", "platform").agg(F.min_by(F.struct("url", "source"), F.struct("invalid", "rank", "at")).alias("pick"))
     best = best.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("platform", "pick"))).alias("picks"))
+    chosen_by_hand = F.when(slug != "", F.concat(F.lit("https://github.com/"), slug)).when(address != "", address)
+    rows = rows.withColumn("_by_hand", chosen_by_hand).withColumn("_fixed", classify_url(F.col("_by_hand")))  # classified once, used for each platform
     rows = rows.join(best, F.col(key) == F.col("_key"), "left")
-    fixed = F.when(slug != "", classify_url(F.concat(F.lit("https://github.com/"), slug))).when(address != "", classify_url(address))
     none = F.lit(None).cast("struct<url:string,source:string>")
 
     def pick(platform: str) -> Column:
-        own = F.when(fixed["platform"] == platform, F.struct(fixed["canonical"].alias("url"), F.lit("override").alias("source")))
+        own = F.when(F.col("_fixed.platform") == platform, F.struct(F.col("_fixed.canonical").alias("url"), F.lit("override").alias("source")))
         return F.coalesce(own, F.when(~clear, F.try_element_at(F.col("picks"), F.lit(platform))), none)
 
     chosen = rows.withColumn("_pick", F.coalesce(*map(pick, HOST_PRIORITY)))
