@@ -1,6 +1,9 @@
 """Plain versions of what the operators must give."""
 
 import re
+from collections import Counter
+from functools import cache
+from math import log2
 
 
 def shingles(text, k):
@@ -62,3 +65,28 @@ def hits(text, items, size=10):
                     hit.update(range(i, i + len(window)))
                     found.add(str(item))
     return len(words), len(hit), sorted(found)
+
+
+def ppm_bits(samples, text, order):
+    """Bits of text after samples: method C with exclusion, contexts longest first."""
+    trees = {}
+    pad = (256,) * order
+    for t in samples:
+        s = pad + tuple(t.lower())
+        for i in range(order, len(s)):
+            for k in range(order + 1):
+                trees.setdefault(s[i - k : i], Counter())[s[i]] += 1
+
+    @cache
+    def p(context, symbol):
+        after = trees.get(context)
+        shorter = lambda x: p(context[1:], x) if context else 1 / 256
+        if not after:
+            return shorter(symbol)
+        total = sum(after.values())
+        if symbol in after:
+            return after[symbol] / (total + len(after))
+        return len(after) / (total + len(after)) * shorter(symbol) / (1 - sum(map(shorter, after)))
+
+    s = pad + tuple(text.lower())
+    return -sum(log2(p(s[i - order : i], s[i])) for i in range(order, len(s)))

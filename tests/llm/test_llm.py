@@ -39,8 +39,27 @@ def test_language_id_on_odd_rows_and_held_out(spark):
     held = [r for r in rows if r["held_out"]]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for r in rows)
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.95 * len(held)
-    model = language_id.train_ppm({"en": [b"the cat sat on the mat"], "de": [b"der hund und die katze"]})
-    assert np.allclose(np.exp2(-model.bits.reshape(-1, model.width, 2).astype(float))[:, : model.width - 2].sum(1).max(), 1, atol=0.02)
+
+
+@pytest.mark.parametrize("order", [0, 1, 3, 4])
+def test_code_lengths_equal_a_plain_coder(order):
+    samples = {"en": [b"The cat sat on the mat", b"", b"that cat"], "de": ["der Hund und die K\u00e4tze".encode()], "none": [b""]}
+    texts = [b"the cats", b"", b"ZZ \xc3\xa4 the hund", b"t", b"that cat sat on the mat" * 9]
+    fitted = language_id.train_ppm(samples, order)
+    off = np.cumsum([0, *map(len, texts)])
+    for chunk in (1 << 19, 7, 1):
+        got = language_id.code_lengths(fitted, np.frombuffer(b"".join(texts), np.uint8), off, chunk)
+        for i, t in enumerate(texts):
+            for j, lang in enumerate(fitted.langs):
+                assert got[i, j] == pytest.approx(brute.ppm_bits(samples[lang], t, order), rel=1e-5, abs=1e-4)
+
+
+def test_language_sample_is_bounded_and_leaves_no_language_out(spark):
+    rows = [(i, "a b " * 40, "xx") for i in range(300)] + [(900, "long " * 900, "yy"), (901, "long " * 800, "yy"), (902, None, "zz"), (903, "t", None)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.training_sample(labelled, 20, 1000, 1 << 20)
+    assert {k: len(v) for k, v in got.items()} == {"xx": 20, "yy": 1} and got["yy"] == [b"long " * 800]
+    assert len(language_id.training_sample(labelled, 200, 1000, 3200)["xx"]) == 10
 
 
 def test_near_duplicates_equal_brute_force(spark):
