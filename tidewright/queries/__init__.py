@@ -1,6 +1,6 @@
 """Queries over the driver's tables with their SQL; each module registers its own."""
 
-from tidewright.queries import aggregates, filters, graphs, identity, joins, payloads, ranking, reshaping, scalars, scores, sources, streams, verdicts
+from tidewright.queries import aggregates, channels, filters, graphs, identity, joins, payloads, ranking, reshaping, scalars, scores, sources, streams, verdicts
 from tidewright.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "aggregates", "filters", "graphs", "identity", "joins", "payloads", "ranking", "reshaping", "scalars", "scores", "sources", "streams", "verdicts"]
+__all__ = ["ORACLES", "QUERIES", "aggregates", "channels", "filters", "graphs", "identity", "joins", "payloads", "ranking", "reshaping", "scalars", "scores", "sources", "streams", "verdicts"]

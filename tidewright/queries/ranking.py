@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.functions import numbers as N
+from tidewright.operators import scopes as S
 from tidewright.operators import windows as W
 from tidewright.queries.aggregates import MASS, repo_mass
 from tidewright.queries.registry import query, table
@@ -40,10 +41,7 @@ SELECT p_partkey, coalesce(pa, CASE WHEN pb IS NOT NULL THEN 50 END)::DOUBLE AS
 """)
 def neutral_fill(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 4 != 0, F.col("p_size")).alias("a"), F.col("p_retailprice").alias("b"))
-    v = W.percentiles(v, {"pa": ("a", "high"), "pb": ("b", "high")})
-    a, b = F.round("pa", 2), F.round("pb", 2)
-    filled = F.when(a.isNull() & b.isNotNull(), 50.0).otherwise(a)
-    return v.select("p_partkey", filled.alias("a_p"), b.alias("b_p"), F.round(F.greatest(F.lit(1.0), N.geometric_mean(filled, b)), 2).alias("score"))
+    return S.composite_score(v, {"a": "high", "b": "high"}, "score", neutral={"a": 50.0}).select("p_partkey", "a_p", "b_p", "score")
 
 
 @query(DOWNLOADS + "SELECT k, v FROM c WHERE v >= (SELECT max(v) FROM c WHERE cum >= 0.95 * total)")
