@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, repeat_removal, subword, toxicity
+from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, repeat_removal, subword, toxicity, word_bpe
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
        sha256(unhex(CASE WHEN spans IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM doc LEFT JOIN part USING (doc_id)
 """
+
+
+@query
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.digest_tokens(word_bpe.decode_tokens(word_bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))))
