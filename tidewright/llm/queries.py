@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm import chat_trees, decontaminate, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, repeat_removal, subword, toxicity, word_bpe
+from tidewright.llm import chat_trees, decontaminate, hard_negatives, kd_sharding, language_id, lattice_lm, near_dedup, ogg_media, periodic_runs, repeat_removal, subword, toxicity, word_bpe
 from tidewright.llm.common import in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,36 @@ FROM doc LEFT JOIN part USING (doc_id)
 @query
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digest_tokens(word_bpe.decode_tokens(word_bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), label.alias("label"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose crc32 is divisible by ten repeat a part of themselves from word a on, with period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic_runs.split_words(F.col("text")).alias("words"), h.alias("h"), F.floor(h / 10).alias("g"))
+    docs = docs.withColumn("n", F.size("words")).withColumn("a", F.expr("g % nullif(n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = F.expr("transform(sequence(0L, n - 1L), i -> words[int(if(i >= a, a + (i - a) % p, i))])")
+    words = F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), planted).otherwise(F.col("words"))
+    return periodic_runs.digest_runs(periodic_runs.find_runs(docs.select("doc_id", words.alias("words")), F.col("words")).select("doc_id", "runs", "collapsed"))

@@ -1,6 +1,6 @@
 """Byte-level BPE through a table of distinct words, and its decoding.
 
-Texts are split into words by the vocabulary's pattern in Spark. The distinct
+Spark's tasks split texts into words by the vocabulary's pattern. The distinct
 words are counted, each is encoded once, and the ids are joined back by
 position: words of the frequent head, a table of bounded size, in a map-side
 join; all others in a shuffled join that carries the text's key and the word's
@@ -23,16 +23,18 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import pre_tokenizers
 
-from tidewright.llm.common import materialize, ship, spans_of, tidy
+from tidewright.llm.common import Rolling, materialize, ship, spans_of, tidy, utf8_view
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
-#: White space as the pattern of byte-level vocabularies knows it.
-WHITE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+LETTER, DIGIT, OTHER, WHITE = range(4)
+#: White space as the pattern of byte-level vocabularies knows it.
+WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 @dataclass(frozen=True)
@@ -84,45 +86,87 @@ def load_vocabulary(path: str = DEFAULT_VOCABULARY) -> ByteBpe:
 
 
 @cache
-def _newer_than_the_jvm() -> tuple[str, str]:
-    """Ranges of letters and of digits as the tokenizers library knows them, whose Unicode may be newer than the JVM's."""
+def character_classes() -> bytes:
+    """LETTER, DIGIT, WHITE or OTHER for every code point, as the tokenizers library's pattern has them."""
     splitter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-    out = []
-    for beside in "x1":
-        found: list[list[int]] = []
-        for lo in range(0x80, 0x40000, 0x2000):  # no letters beyond
-            codes = [c for c in range(lo, lo + 0x2000) if not 0xD800 <= c < 0xE000]
+    out = np.full(0x110000, OTHER, np.uint8)
+    for lo in range(0, 0x40000, 0x2000):  # neither letters nor digits beyond
+        codes = [c for c in range(lo, lo + 0x2000) if not 0xD800 <= c < 0xE000]
+        for kind, beside in ((LETTER, "x"), (DIGIT, "1")):
             text = "".join(f" {beside}{chr(c)}{beside}" for c in codes)
-            for _, (a, b) in splitter.pre_tokenize_str(text):
-                if b - a == 4:
-                    c = ord(text[a + 2])
-                    if found and found[-1][1] == c - 1:
-                        found[-1][1] = c
-                    else:
-                        found.append([c, c])
-        out.append("".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in found))
-    return out[0], out[1]
-
-
-def word_pattern() -> str:
-    """The splitting pattern of byte-level vocabularies for the JVM; code points that it does not know are classed by range."""
-    more_letters, more_digits = (rf"[\p{{Cn}}&&[{ranges}]]" for ranges in _newer_than_the_jvm())
-    letter, digit = rf"[\p{{L}}{more_letters}]", rf"[\p{{N}}{more_digits}]"
-    other = rf"[^{WHITE}\p{{L}}\p{{N}}{more_letters}{more_digits}]"
-    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{digit}+| ?{other}+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-
-
-def split_words(text: Column, added: dict[str, int]) -> Column:
-    """Array of a text's words in order, together the whole text; an added token is a word, and splits as if the text ended at it."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
-    pattern = F.lit(word_pattern())
-    plain = F.regexp_extract_all(text, pattern, F.lit(0))
-    if not added:
-        return plain
-    java = "|".join(re.sub(r"([^A-Za-z0-9])", r"\\\1", t) for t in sorted(added, key=lambda t: (-len(t), t)))
-    between, marks = F.split(text, java, -1), F.regexp_extract_all(text, F.lit(java), F.lit(0))
-    cut = F.transform(F.arrays_zip(between.alias("s"), marks.alias("m")), lambda p: F.concat(F.regexp_extract_all(p["s"], pattern, F.lit(0)), F.array_compact(F.array(p["m"]))))
-    return F.when(text.rlike(java), F.flatten(cut)).otherwise(plain)
+            out[[ord(text[a + 2]) for _, (a, b) in splitter.pre_tokenize_str(text) if b - a == 4]] = kind
+    out[WHITE_SPACE] = WHITE
+    return out.tobytes()
+
+
+def _added_edges(data: bytes, offsets: np.ndarray, added: list[bytes]) -> list[int]:
+    """Where added tokens start and end; the longest of those at one place, none across texts."""
+    if not any(t in data for t in added):
+        return []
+    pattern = re.compile(b"|".join(map(re.escape, sorted(added, key=lambda t: (-len(t), t)))))
+    return [lo + x for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in pattern.finditer(data[lo:hi]) for x in m.span()]
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, added: list[bytes]) -> np.ndarray:
+    """Where words start in texts data[offsets[i]:offsets[i + 1]] (UTF-8), which they fill without a gap.
+
+    The pattern in terms of runs of letters, digits, white space and others: a
+    run is a word and takes a space before it along; white space before another
+    run leaves its last character; an apostrophe that starts a word makes one
+    with s, t, re, ve, m, ll or d after it. An added token is a word, and what
+    stands before it ends as a text does.
+    """
+    raw = data.tobytes()
+    at = None
+    if (data >= 0x80).any():
+        at = np.flatnonzero((data & 0xC0) != 0x80)
+        codes = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+    else:
+        codes = data
+    n = len(codes)
+    marks = np.array(_added_edges(raw, offsets, added), np.int64)
+    edges = np.concatenate([offsets, marks])
+    edge = np.zeros(n + 1, bool)
+    edge[edges if at is None else np.searchsorted(at, edges)] = True
+    kind = classes[codes]
+    start = edge.copy()
+    start[1:-1] |= kind[1:] != kind[:-1]
+    white = np.flatnonzero((kind[:-1] == WHITE) & (kind[1:] != WHITE) & ~edge[1:-1])  # the last of a run that goes on in the same text
+    start[white] = True
+    start[white[codes[white] == 32] + 1] = False
+    quote = np.flatnonzero((codes == 39) & start[:-1])
+    for letters in ("s", "t", "re", "ve", "m", "ll", "d"):
+        size = len(letters)
+        fits = quote[quote + size < n]
+        for i, c in enumerate(letters, 1):
+            fits = fits[(codes[fits + i] == ord(c)) & ~edge[fits + i]]
+        start[fits + 1] = False
+        start[fits + 1 + size] = True
+    if len(marks):
+        pairs = (marks if at is None else np.searchsorted(at, marks)).reshape(-1, 2)
+        for lo, hi in pairs.tolist():
+            start[lo + 1 : hi] = False
+    found = np.flatnonzero(start[:-1])
+    return found if at is None else at[found]
+
+
+@dataclass(frozen=True)
+class Splitter:
+    """What tasks need to split texts."""
+
+    classes: bytes
+    added: list[bytes]
+
+    def spans(self, column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int, pa.Array, np.ndarray]]:
+        """(first row, end row, words, each row's first word and the end) for runs of texts of about `limit` bytes."""
+        raw, offsets, _ = utf8_view(column)
+        classes = np.frombuffer(self.classes, np.uint8)
+        for lo, hi in spans_of(np.diff(offsets), limit):
+            data, at = raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+            starts = word_starts(data, at, classes, self.added) if len(data) else np.zeros(0, np.int64)
+            ends = np.append(starts, len(data)).astype(np.int64)
+            words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
+            yield lo, hi, words, np.searchsorted(starts, at)
 
 
 def merge_word(word: bytes, v: ByteBpe) -> list[int]:
@@ -166,38 +210,86 @@ def encode_distinct(words: DataFrame, v: ByteBpe) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "word string, n long, ids binary")
 
 
+def _count_words(sent: Callable[[], Splitter], most: int = 1 << 20):
+    """(word, n): counts within a task; what it holds is given out when it has more than `most` words."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, held = sent(), []
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        for batch in batches:
+            for _, _, words, _ in splitter.spans(batch.column("text")):
+                counts = words.value_counts()
+                held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
+                if sum(map(len, held)) > 2 * most:
+                    held = [merged()]
+                    if len(held[0]) > most:
+                        yield from held.pop().cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(1 << 16)
+        if held:
+            yield from merged().cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(1 << 16)
+
+    return run
+
+
+def word_table(docs: DataFrame, v: ByteBpe) -> DataFrame:
+    """(word, n, ids): every distinct word of the texts, how often it occurs, its ids; written to the shared folder."""
+    sent = ship(docs.sparkSession, Splitter(character_classes(), [t.encode() for t in v.added]))
+    words = docs.select(_text().alias("text")).mapInArrow(_count_words(sent), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return materialize(encode_distinct(words, v), "words")
+
+
+def _text() -> Column:
+    return F.make_valid_utf8(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 @dataclass(frozen=True)
 class Head:
-    """The most frequent words with their ids, sorted by word or not; limits: bytes of a word, n and word of the last."""
+    """The most frequent words in the order of their hashes, with their ids."""
 
+    hashes: np.ndarray
     words: pa.Array
     ids: np.ndarray
     starts: np.ndarray
     sizes: np.ndarray
 
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Each word's number in the head, or -1: by hash, then by the word itself."""
+        if not len(self.words) or not len(words):
+            return np.full(len(words), -1)
+        coded = words.dictionary_encode()
+        near = np.minimum(np.searchsorted(self.hashes, hashes := _hashes(coded.dictionary)), len(self.hashes) - 1)
+        same = (self.hashes[near] == hashes) & np.asarray(pc.equal(self.words.take(pa.array(near)), coded.dictionary))
+        return np.where(same, near, -1)[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    raw, offsets, _ = utf8_view(words)
+    rolling = Rolling()
+    return rolling.between(rolling.prefix(raw[offsets[0] : offsets[-1]]), offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+
 
 def _head(table: DataFrame, most: int, longest: int, width: type) -> tuple[Head, Column]:
     """The head of `most` words of at most `longest` bytes each, and the condition of the rows beyond it."""
     long = F.octet_length("word") > longest
     top = table.where(~long).orderBy(F.desc("n"), "word").limit(most).toArrow().combine_chunks()
-    words = top.column("word").combine_chunks().cast(pa.string()) if top.num_rows else pa.array([], pa.string())
-    packed = top.column("ids").to_pylist()
-    sizes = np.array([len(p) for p in packed], np.int64) // np.dtype(width).itemsize
-    head = Head(words, np.frombuffer(b"".join(packed), width), np.cumsum(sizes) - sizes, sizes)
-    if top.num_rows < most or not most:
-        return head, long if most else F.lit(True)
-    n, word = top.column("n")[-1].as_py(), top.column("word")[-1].as_py()
-    return head, long | (F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > F.lit(word)))
-
-
-def _looked_up(batch: pa.RecordBatch, head: Head, limit: int = 4 << 20) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
-    """(first row, end row, words, their numbers in the head or -1, each row's first word) for runs of rows of a batch."""
-    lists = batch.column("words")
-    offsets = np.asarray(lists.offsets).astype(np.int64)
-    flat, offsets = lists.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
-    for lo, hi in spans_of(16 * np.diff(offsets), limit):
-        words = flat.slice(offsets[lo], offsets[hi] - offsets[lo])
-        yield lo, hi, words, pc.fill_null(pc.index_in(words, value_set=head.words), -1).to_numpy(zero_copy_only=False), offsets[lo : hi + 1] - offsets[lo]
+    if not top.num_rows:
+        nothing = np.zeros(0, np.int64)
+        return Head(nothing.astype(np.uint64), pa.array([], pa.large_string()), nothing.astype(width), nothing, nothing), long if most else F.lit(True)
+    last = top.slice(top.num_rows - 1).to_pylist()[0]
+    words = top.column("word").combine_chunks().cast(pa.large_string())
+    hashes = _hashes(words)
+    order = np.argsort(hashes, kind="stable")
+    again = np.concatenate([[False], hashes[order][1:] == hashes[order][:-1]])
+    left_out, order = words.take(pa.array(order[again])).to_pylist(), order[~again]  # of words with one hash only the first is in the head
+    packed = top.column("ids").take(pa.array(order)).combine_chunks()
+    raw, offsets, _ = utf8_view(packed)
+    sizes = np.diff(offsets) // np.dtype(width).itemsize
+    head = Head(hashes[order], words.take(pa.array(order)), raw[offsets[0] : offsets[-1]].view(width).copy(), np.cumsum(sizes) - sizes, sizes)
+    beyond = F.lit(False) if top.num_rows < most else (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > F.lit(last["word"])))
+    return head, long | beyond | (F.col("word").isin(left_out) if left_out else F.lit(False))
 
 
 def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -205,44 +297,47 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _find_gaps(sent: Callable[[], Head]):
+def _find_gaps(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
     """A row (key_a, key_b, place, at, word) for every word beyond the head; at: how many ids of the head stand before it."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = sent()
+        split, head = splitter(), sent()
         for batch in batches:
-            for lo, _, words, found, offsets in _looked_up(batch, head):
+            for lo, _, words, offsets in split.spans(batch.column("text")):
+                found = head.find(words)
                 gap = np.flatnonzero(found < 0)
                 row = np.searchsorted(offsets, gap, "right") - 1
                 before = np.concatenate([[0], np.cumsum(np.where(found < 0, 0, head.sizes[found] if len(head.sizes) else 0))])
                 keys = [batch.column(k).take(pa.array(lo + row)) for k in ("key_a", "key_b")]
-                at = before[gap] - before[offsets[row]]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(gap - offsets[row]), pa.array(at), words.take(pa.array(gap))], ["key_a", "key_b", "place", "at", "word"])
+                place, at = (pa.array(x.astype(np.int32)) for x in (gap - offsets[row], before[gap] - before[offsets[row]]))
+                yield pa.RecordBatch.from_arrays([*keys, place, at, words.take(pa.array(gap)).cast(pa.string())], ["key_a", "key_b", "place", "at", "word"])
 
     return run
 
 
-def _fill_head(sent: Callable[[], Head]):
-    """Adds the packed ids of the head's words and the number of gaps; a row without gaps gets a key of its own, so that it is not sent where equal texts are."""
+def _fill_head(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
+    """Gives the ids of the head's words (packed and compressed) and the number of gaps; a row without gaps gets a key of its own, so that it is not sent where equal texts are."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        head, number = sent(), TaskContext.get().partitionId() << 40
+        split, head, number = splitter(), sent(), TaskContext.get().partitionId() << 40
+        pack = zstandard.ZstdCompressor(1).compress
         for batch in batches:
-            for lo, hi, _, found, offsets in _looked_up(batch, head):
+            for lo, hi, words, offsets in split.spans(batch.column("text")):
+                found = head.find(words)
                 known = found >= 0
                 sizes = np.where(known, head.sizes[found], 0) if len(head.sizes) else np.zeros(len(found), np.int64)
                 ids = head.ids[_ragged(head.starts[found[known]], sizes[known])]
                 ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
                 gaps = np.diff(np.concatenate([[0], np.cumsum(~known)])[offsets])
-                packed = [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                packed = [pack(ids[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
                 own = gaps == 0
                 keys = [np.where(own, mine, batch.column(k).slice(lo, hi - lo).to_numpy(zero_copy_only=False)) for k, mine in (("key_a", number + np.arange(hi - lo)), ("key_b", -1))]
                 number += hi - lo
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), *map(pa.array, keys), pa.array(packed, pa.binary()), pa.array(gaps)], ["row", "key_a", "key_b", "ids", "gaps"])
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), *map(pa.array, keys), pa.array(packed, pa.binary()), pa.array(gaps.astype(np.int32))], ["row", "key_a", "key_b", "ids", "gaps"])
 
     return run
 
@@ -252,17 +347,18 @@ def _insert(width: type):
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             fills, out = batch.column("fills"), []
             offsets = np.asarray(fills.offsets)
             inside = fills.values
             at, more = inside.field("at").to_numpy(zero_copy_only=False), inside.field("ids").to_pylist()
             for i, (packed, gaps) in enumerate(zip(batch.column("ids").to_pylist(), batch.column("gaps").to_pylist(), strict=True)):
-                ids = np.frombuffer(packed, width)
+                ids = np.frombuffer(unpack(packed), width)
                 if gaps:
                     lo, hi = offsets[i], offsets[i + 1]
                     if hi - lo != gaps:
-                        raise ValueError(f"{gaps} words are missing from the table of words, {hi - lo} were found in it")
+                        raise ValueError(f"{gaps} words of a text are not in the head, of which {hi - lo} came from the table of words")
                     parts = [np.frombuffer(p, width) for p in more[lo:hi]]
                     ids = np.insert(ids, np.repeat(at[lo:hi], [len(p) for p in parts]), np.concatenate(parts))
                 out.append(ids.astype(np.int32))
@@ -273,36 +369,28 @@ def _insert(width: type):
     return run
 
 
-def word_table(docs: DataFrame, v: ByteBpe) -> DataFrame:
-    """(word, n, ids): every distinct word of the texts, how often it occurs, its ids; written to the shared folder."""
-    words = docs.select(F.explode(split_words(F.col("text"), v.added)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return materialize(encode_distinct(words, v), "words")
-
-
-def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: int = 1 << 18, head_bytes: int = 64) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: int = 1 << 20, head_bytes: int = 64) -> DataFrame:
     """docs with `tokens` (array<int>) in place of `text`, which decode_tokens() gives back.
 
     head_words words of at most head_bytes bytes each are sent to all tasks; the
     others meet their ids in a shuffled join. A column of docs called `tokens`
-    is replaced.
+    is replaced; bytes of a text that are no UTF-8 count as U+FFFD.
     """
     v = load_vocabulary(path)
     spark = docs.sparkSession
     table = word_table(docs, v)
     head, beyond = _head(table, head_words, head_bytes, v.width)
-    sent = ship(spark, head)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    splitter, sent = ship(spark, Splitter(character_classes(), [t.encode() for t in v.added])), ship(spark, head)
     kept = [c for c in docs.columns if c not in ("text", "tokens")]
     row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in kept)) if kept else F.struct(F.lit(0).alias("_none"))
-    rows = docs.select(row.alias("row"), F.xxhash64(text).alias("key_a"), F.xxhash64(F.lit(1), text).alias("key_b"), split_words(F.col("text"), v.added).alias("words"))
-    gaps = rows.select("key_a", "key_b", "words").mapInArrow(_find_gaps(sent), "key_a long, key_b long, place long, at long, word string")
+    rows = docs.select(row.alias("row"), _text().alias("text")).select("row", F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit(1), F.col("text")).alias("key_b"), "text")
+    gaps = rows.select("key_a", "key_b", "text").mapInArrow(_find_gaps(splitter, sent), "key_a long, key_b long, place int, at int, word string")
     found = gaps.join(table.where(beyond).select("word", "ids"), "word")
-    found = found.groupBy("key_a", "key_b", "place").agg(F.first("at").alias("at"), F.first("ids").alias("ids"))  # equal texts: once
-    fills = found.groupBy("key_a", "key_b").agg(F.sort_array(F.collect_list(F.struct("place", "at", "ids"))).alias("fills"))
-    partial = rows.mapInArrow(_fill_head(sent), rows.select("row").schema.add("key_a", "long").add("key_b", "long").add("ids", "binary").add("gaps", "long"))
-    whole = partial.join(fills, ["key_a", "key_b"], "left")
-    empty = F.array().cast("array<struct<place:bigint,at:bigint,ids:binary>>")
-    whole = whole.select("row", "ids", "gaps", F.coalesce("fills", empty).alias("fills"))
+    # a set, since equal texts give equal rows; a text's own words beyond the head
+    fills = found.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_set(F.struct("place", "at", "ids"))).alias("fills"))
+    partial = rows.mapInArrow(_fill_head(splitter, sent), rows.select("row").schema.add("key_a", "long").add("key_b", "long").add("ids", "binary").add("gaps", "integer"))
+    empty = F.array().cast("array<struct<place:int,at:int,ids:binary>>")
+    whole = partial.join(fills, ["key_a", "key_b"], "left").select("row", "ids", "gaps", F.coalesce("fills", empty).alias("fills"))
     out = whole.mapInArrow(_insert(v.width), rows.select("row").schema.add("tokens", ArrayType(IntegerType())))
     return out.select("row.*", "tokens") if kept else out.select("tokens")
 
