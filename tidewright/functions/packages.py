@@ -41,6 +41,28 @@ def login_of(name: Column, email: Column) -> Column:
     return F.coalesce(F.nullif(login, F.lit("")), F.nullif(F.substring_index(e, "@", 1), F.lit("")), F.lower(F.trim(name)))
 
 
+#: Accounts and addresses of programs.
+BOTS = (
+    "dependabot[bot]", "renovate[bot]", "github-actions[bot]", "cloudflare-workers-and-pages", "web-flow", "greenkeeper[bot]", "snyk-bot",
+    "codecov-commenter", "semantic-release-bot", "allcontributors[bot]", "imgbot[bot]", "pyup-bot", "mend-bolt-for-github[bot]", "copilot",
+    "claude", "pre-commit-ci[bot]", "netlify[bot]", "vercel[bot]", "mergify[bot]", "renovate-bot", "depfu[bot]",
+)
+BOT_EMAILS = ("noreply@github.com", "actions@github.com")
+
+
 def is_bot_name(name: Column) -> Column:
     n = F.lower(F.trim(name))
-    return n.endswith("[bot]") | n.isin("dependabot", "renovate", "github-actions", "greenkeeper", "pre-commit-ci")
+    return n.endswith("[bot]") | n.isin(*BOTS)
+
+
+def is_bot_identity(name: Column, email: Column) -> Column:
+    """Whether the name, the address or the login of a no-reply address is a program's."""
+    e = F.lower(F.trim(email))
+    login = F.regexp_extract(e, NO_REPLY, 1)
+    return F.coalesce(is_bot_name(name), F.lit(False)) | F.coalesce(e.isin(*BOT_EMAILS), F.lit(False)) | F.coalesce(login.endswith("[bot]") | login.isin(*BOTS), F.lit(False))
+
+
+def full_name(name: Column) -> Column:
+    """A name of several words in lower case, which identifies a person; NULL for a handle."""
+    n = F.lower(F.trim(name))
+    return F.when(n.contains(" "), n)

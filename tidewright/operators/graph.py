@@ -1,41 +1,81 @@
-"""Dependency graphs: closure, PageRank, components, contraction.
+"""Dependency graphs: closure, trees, PageRank, components, contraction.
 
-Loops run on the driver over distributed tables; each round is checkpointed in
-spark.checkpoint.dir, so that plans stay small and lost executors cost one round.
+Loops run on the driver over distributed tables. What changes in a round is
+checkpointed in spark.checkpoint.dir, so that plans stay small and lost executors
+cost one round; what stays (the edges) is dealt out by its key once and kept, so
+that only the frontier or the ranks move.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.lineage import cut
 
 
-def closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, depth): everything reachable from seeds (node) over edges (src, dst), at its least distance."""
-    edges = edges.select("src", "dst").distinct()
-    seen = cut(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    frontier, depth = seen, 0
+@contextmanager
+def _kept_by(df: DataFrame, key: str):
+    """df, dealt out by key and kept by the executors; what is lost is made again from df."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def _frontiers(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, depth) from edges (src, dst) that are dealt out by src; a checkpoint for each depth."""
+    found = [cut(seeds.select("node").where("node is not null").distinct().withColumn("depth", F.lit(0)))]
     while True:
-        depth += 1
-        step = edges.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
-        fresh = cut(step.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
+        reached = reduce(DataFrame.unionByName, found)
+        step = edges.join(found[-1].select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
+        fresh = cut(step.join(reached, "node", "left_anti").withColumn("depth", F.lit(len(found))))
         if fresh.isEmpty():
-            return seen
-        seen = cut(seen.unionByName(fresh))
-        frontier = fresh
+            return reached
+        found.append(fresh)
+
+
+def closure(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, depth): everything reachable from seeds (node) over edges (src, dst), at its least distance."""
+    pairs = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
+    with _kept_by(pairs, "src") as kept:
+        return _frontiers(seeds, kept)
 
 
-def dependency_tree(seeds: DataFrame, edges: DataFrame, keep_unknown: bool = True, known: DataFrame | None = None) -> DataFrame:
-    """The distinct edges that leave reachable nodes; edges to unknown nodes on request."""
-    reached = closure(seeds, edges)
-    tree = edges.select("src", "dst").distinct().join(reached.select(F.col("node").alias("src")), "src", "left_semi")
-    return tree if keep_unknown or known is None else tree.join(known.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst")
+def counted_edges(edges: DataFrame, none: str | None = "__none__") -> DataFrame:
+    """Edges (src, dst and any attributes) with `copies`, how often each occurs; rows whose dst is blank or the marker of no dependency go."""
+    text = F.trim(F.col("dst").cast("string"))
+    real = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull() & (text != "") & (text != F.lit(none) if none is not None else F.lit(True)))
+    return real.groupBy(*(F.col("`" + c.replace("`", "``") + "`") for c in edges.columns)).agg(F.count("*").alias("copies"))
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6, self_loops: bool = False, cut_every: int = 4) -> DataFrame:
+def dependency_tree(seeds: DataFrame, edges: DataFrame, keep_unknown: bool = True, known: DataFrame | None = None, none: str | None = "__none__", repeats: bool = False) -> DataFrame:
+    """The edges that leave reachable nodes, with their attributes.
+
+    A blank dst and the marker of no dependency are no edge. Targets that nothing
+    is known about are kept unless keep_unknown is off, when those outside known
+    (node) go, and nothing is reached through them. With repeats an edge comes as
+    often as the input has it, else once. The closure runs over counted edges, so
+    that repeats never travel.
+    """
+    counted = cut(counted_edges(edges, none))
+    if not keep_unknown and known is not None:
+        counted = cut(counted.join(known.select(F.col("node").alias("dst")).distinct(), "dst", "left_semi").select(*counted.columns))
+    with _kept_by(counted, "src") as kept:
+        reached = _frontiers(seeds, kept.select("src", "dst"))
+        tree = cut(kept.join(reached.select(F.col("node").alias("src")), "src", "left_semi").select(*counted.columns))
+    if repeats:
+        tree = tree.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies")))
+    return tree.drop("copies")
+
+
+def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6, self_loops: bool = False) -> DataFrame:
     """(node, rank): personalised PageRank over the simple digraph of edges (src, dst).
 
     vertices: node and weight (personalisation; a missing weight counts 0, a zero
@@ -44,50 +84,93 @@ def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds:
     tolerance, 100 times at most.
     """
     edges = edges.select("src", "dst").where("src is not null and dst is not null").distinct()
-    edges = edges if self_loops else edges.where("src != dst")
-    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).union(vertices.select("node")).distinct()
-    given = vertices.groupBy("node").agg(F.sum("weight").alias("w"))
-    nodes = nodes.join(given, "node", "left").join(edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("out")), "node", "left")
-    nodes = cut(nodes.select("node", F.coalesce("w", F.lit(0.0)).cast("double").alias("w"), "out"))
+    edges = cut(edges if self_loops else edges.where("src != dst"))
+    given = vertices.where("node is not null").groupBy("node").agg(F.sum("weight").alias("w"))
+    out = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("out"))
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("node")).union(given.select("node")).distinct()
+    nodes = cut(nodes.join(given, "node", "left").join(out, "node", "left").select("node", F.coalesce("w", F.lit(0.0)).cast("double").alias("w"), "out"))
     n, total = nodes.agg(F.count("*"), F.sum("w")).first()
     if not n:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     share = F.col("w") / float(total) if total else F.lit(1.0 / n)
     nodes = nodes.select("node", share.alias("p"), "out")
-    links = cut(edges.join(nodes.select(F.col("node").alias("src"), "out"), "src"))
-    ranks = nodes.withColumn("rank", F.lit(1.0 / n))
-    for i in range(rounds or 100):
-        sent = links.join(ranks.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") / F.col("out")).alias("got"))
-        loose = ranks.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)).alias("loose"))
-        after = ranks.withColumnRenamed("rank", "old").join(sent, "node", "left").crossJoin(F.broadcast(loose))
-        after = after.withColumn("rank", alpha * (F.coalesce("got", F.lit(0.0)) + F.col("loose") * F.col("p")) + (1 - alpha) * F.col("p"))
-        if rounds is None:
+    links = edges.join(out.select(F.col("node").alias("src"), "out"), "src").select("src", "dst", (1.0 / F.col("out")).alias("part"))
+    with _kept_by(links, "src") as links, _kept_by(nodes, "node") as nodes:
+        ranks, loose = nodes.select("node", F.lit(1.0 / n).alias("rank")), nodes.where("out is null").count() / n
+        for _ in range(rounds or 100):
+            sent = links.join(ranks.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
+            rank = alpha * (F.coalesce("got", F.lit(0.0)) + loose * F.col("p")) + (1 - alpha) * F.col("p")
+            after = nodes.join(sent, "node", "left").select("node", "out", rank.alias("rank"))
+            if rounds is None:
+                after = after.join(ranks.withColumnRenamed("rank", "old"), "node")
             after = cut(after)
-            change = after.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
-            ranks = after.select("node", "p", "out", "rank")
-            if change < n * tolerance:
+            change = F.sum(F.abs(F.col("rank") - F.col("old"))) if rounds is None else F.lit(None)
+            loose, moved = after.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)), change).first()
+            ranks = after.select("node", "rank")
+            if rounds is None and moved < n * tolerance:
                 break
-        else:
-            ranks = after.select("node", "p", "out", "rank")
-            if (i + 1) % cut_every == 0:
-                ranks = cut(ranks)
-    return ranks.select("node", "rank")
+    return ranks
+
+
+def _key(c: str, turn: int) -> Column:
+    """A node with its hash of this round in front."""
+    return F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("to"))
+
+
+def contractions(edges: DataFrame) -> list[DataFrame]:
+    """Rounds of contraction: (node, to, least) for the nodes each round still had, until no edge is left.
+
+    Every node follows the neighbour of least hash (itself, if that is less) for
+    two steps; edges move to the nodes reached, and what then lies within one
+    node or is there twice goes. The hash changes each round, so that a chain
+    shrinks by a constant factor whatever its order. least: the smallest of the
+    original nodes that a node stands for.
+    """
+    pairs = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).where("src is not null and dst is not null and src <> dst")
+    pairs, stands, rounds = cut(pairs.distinct()), None, []
+    while not pairs.isEmpty():
+        turn = len(rounds)
+        both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.least(_key("a", turn), _key("b", turn)).alias("k")), F.struct(F.col("b").alias("n"), F.least(_key("a", turn), _key("b", turn)).alias("k")))).alias("e"))
+        first = cut(both.groupBy(F.col("e.n").alias("node")).agg(F.min("e.k").alias("k")).select("node", F.col("k.to").alias("to")))
+        second = first.select(F.col("node").alias("to"), F.col("to").alias("_to"))
+        moved = first.join(second, "to").select("node", F.col("_to").alias("to"))
+        moved = moved.withColumn("least", F.col("node")) if stands is None else moved.join(stands, "node")
+        moved = cut(moved)
+        rounds.append(moved)
+        stands = moved.groupBy(F.col("to").alias("node")).agg(F.min("least").alias("least"))
+        a, b = (moved.select(F.col("node").alias(c), F.col("to").alias(f"_{c}")) for c in ("a", "b"))
+        pairs = cut(pairs.join(a, "a").join(b, "b").where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
+    return rounds
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """(node, label): label is the smallest node of the component; nodes without edges are their own."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).where("src is not null and dst is not null").distinct()
-    own = both.select(F.col("src").alias("node"))
-    own = (own.union(nodes.select("node")) if nodes is not None else own).distinct()
-    both, labels = cut(both), cut(own.withColumn("label", F.col("node")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("dst"), F.col("label").alias("l")), "dst").groupBy(F.col("src").alias("node")).agg(F.min("l").alias("l"))
-        lower = labels.join(near, "node", "left").select("node", F.least("label", "l").alias("label"), F.col("label").alias("old"))
-        jump = lower.select(F.col("node").alias("n2"), F.col("label").alias("l2"))
-        lower = cut(lower.join(jump, F.col("label") == F.col("n2")).select("node", F.least("label", "l2").alias("label"), "old"))
-        labels = lower.select("node", "label")
-        if lower.where("label != old").isEmpty():
-            return labels
+    """(node, label): label is the smallest node of the component; nodes without edges are their own.
+
+    Labels go back from the last contraction to the first, so that every round
+    costs what it still had of the graph.
+    """
+    label = edges.select(F.col("src").alias("node"), F.col("src").alias("label")).limit(0)
+    for moved in reversed(contractions(edges)):
+        ends = moved.groupBy(F.col("to").alias("_end")).agg(F.min("least").alias("_least"))
+        # an end that the next round no longer has stands for what it holds
+        ends = ends.join(label.withColumnRenamed("node", "_end"), "_end", "left").select("_end", F.coalesce("label", "_least").alias("label"))
+        label = cut(moved.join(ends, F.col("to") == F.col("_end")).select("node", "label"))
+    alone = edges.where("src = dst").select(F.col("src").alias("node"))
+    alone = alone if nodes is None else alone.union(nodes.select("node"))
+    return alone.where("node is not null").distinct().join(label, "node", "full_outer").select("node", F.coalesce("label", "node").alias("label"))
+
+
+def merge_aliases(rows: DataFrame, node: str, alias: str, at: str) -> DataFrame:
+    """(label, ids, first) of rows whose identifiers meet: the smallest node, how many nodes, the earliest date.
+
+    Each alias is a star around its smallest node. Rows outside a window must be
+    filtered before: afterwards they would have connected others.
+    """
+    tags = rows.select(F.col(node).alias("node"), F.col(alias).alias("tag")).where("node is not null and tag is not null").distinct()
+    hubs = tags.groupBy("tag").agg(F.min("node").alias("dst"))
+    stars = tags.join(hubs, "tag").where("node <> dst").select(F.col("node").alias("src"), "dst")
+    dates = rows.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(at).alias("at"))
+    return components(stars, dates.select("node")).join(dates, "node").groupBy("label").agg(F.count("*").alias("ids"), F.min("at").alias("first"))
 
 
 def contract(edges: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewright.functions.urls import domain_suffixes
 from tidewright.operators.windows import first_by
 
 
@@ -59,3 +60,19 @@ def table_diff(built: DataFrame, stored: DataFrame, key: str, columns: list[str]
     verdict = F.when(F.col("_in_b").isNull(), "built_only").when(F.col("_in_a").isNull(), "stored_only").otherwise(verdict)
     rows = a.join(b, F.col("_a") == F.col("_b"), "full_outer").select(F.coalesce("_a", "_b").alias(key), verdict.alias("verdict"))
     return rows.where("verdict is not null")
+
+
+def match_suffix(rows: DataFrame, host: str, rules: DataFrame, out: str = "label") -> DataFrame:
+    """Adds `out`: the label of the longest rule (domain, label, exclude) that a host is or ends with at a dot.
+
+    A rule that excludes, however short, comes before all others: such a host has
+    no label. Hosts are matched once each, by equality of their domains, so that
+    no row is compared with every rule; of equal domains the smallest label counts.
+    """
+    domain = F.lower(F.trim("domain"))
+    known = rules.select(domain.alias("_d"), "label", F.coalesce("exclude", F.lit(False)).alias("_x")).where("_d <> ''").groupBy("_d").agg(F.min("label").alias("_l"), F.bool_or("_x").alias("_x"))
+    hosts = rows.select(F.lower(F.trim(F.col(host))).alias("_h")).where("_h <> ''").distinct()
+    hit = hosts.select("_h", F.explode(domain_suffixes(F.col("_h"))).alias("_d")).join(known, "_d")
+    best = hit.groupBy("_h").agg(F.bool_or("_x").alias("_x"), F.max_by("_l", F.when(F.col("_l").isNotNull(), F.struct(F.length("_d").alias("n"), "_d"))).alias("_l"))
+    best = best.select("_h", F.when(~F.col("_x"), F.col("_l")).alias(out))
+    return rows.join(best, F.lower(F.trim(F.col(host))) == F.col("_h"), "left").drop("_h")

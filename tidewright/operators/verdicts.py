@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.operators.windows import running_sum
+
 
 def formula_eol(mapping: DataFrame, formulas: DataFrame) -> DataFrame:
     """(project, is_eol, method, reason): over iff every known formula is disabled or deprecated.
@@ -84,29 +86,22 @@ def split_done(cache: DataFrame, key: str, status: str, at: str, done: tuple[str
     return cache.groupBy(key).agg(F.bool_or(F.coalesce(good, F.lit(False))).alias("reuse"))
 
 
-def bounded_ranges(df: DataFrame, at: str, most: int, rounds: int = 40) -> DataFrame:
-    """(lo, hi, n): ranges [lo, hi) of an integer column with at most `most` rows each, by halving; a single value may hold more.
+def bounded_ranges(df: DataFrame, at: str, most: int) -> DataFrame:
+    """(lo, hi, n): ranges [lo, hi) of an integer column, together all its values, with at most `most` rows each; a single value may hold more.
 
-    Only counts of ranges that are still too large are split again; no row reaches the driver.
+    Values are counted, and the running total of the counts is cut every half of
+    `most`: what begins within one step makes a range, unless a value alone holds
+    over half of `most`, which is a range of its own. Two passes, whatever the
+    values are; hi is one above the range's last value.
     """
-    from tidewright.lineage import cut
-
-    points = cut(df.where(F.col(at).isNotNull()).groupBy(F.col(at).cast("long").alias("x")).agg(F.count("*").alias("n")))
-    ends = points.agg(F.min("x").alias("lo"), (F.max("x") + 1).alias("hi"))
-    going = cut(points.crossJoin(F.broadcast(ends)))
-    finished = None
-    for _ in range(rounds):
-        sizes = going.groupBy("lo", "hi").agg(F.sum("n").alias("total"))
-        rated = going.join(sizes, ["lo", "hi"])
-        large = (F.col("total") > most) & (F.col("hi") - F.col("lo") > 1)
-        done = rated.where(~large).select("lo", "hi", F.col("total").alias("n")).distinct()
-        finished = done if finished is None else finished.unionByName(done)
-        middle = F.col("lo") + F.floor((F.col("hi") - F.col("lo")) / 2)
-        left = F.col("x") < middle
-        going = cut(rated.where(large).select("x", "n", F.when(left, F.col("lo")).otherwise(middle).alias("lo"), F.when(left, middle).otherwise(F.col("hi")).alias("hi")))
-        if going.isEmpty():
-            return finished
-    return finished.unionByName(going.groupBy("lo", "hi").agg(F.sum("n").alias("n")))
+    step = max(1, most // 2)
+    points = df.where(F.col(at).isNotNull()).groupBy(F.col(at).cast("long").alias("x")).agg(F.count("*").alias("n"))
+    points = points.withColumn("heavy", (F.col("n") > step).cast("long"))
+    placed = running_sum(points, "n", [F.col("x")]).select("x", "n", "heavy", F.col("cum").alias("upto"))
+    placed = running_sum(placed, "heavy", [F.col("x")])
+    # the count of heavy values up to here parts the light ones before a heavy value from those after it
+    part = F.when(F.col("heavy") == 1, F.struct(F.col("cum").alias("a"), F.lit(-1).cast("long").alias("b"))).otherwise(F.struct(F.col("cum").alias("a"), F.floor((F.col("upto") - F.col("n")) / step).alias("b")))
+    return placed.groupBy(part.alias("part")).agg(F.min("x").alias("lo"), (F.max("x") + 1).alias("hi"), F.sum("n").alias("n")).select("lo", "hi", "n")
 
 
 def section_links(pages: DataFrame, key: str, html: str, section: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewright.operators import graph as G
@@ -32,6 +32,24 @@ def dep_tree_edges(spark: SparkSession, d: str) -> DataFrame:
     return G.dependency_tree(seeds(spark, d), edges(spark, d)).select("src", "dst")
 
 
+@query("""
+WITH RECURSIVE raw AS (
+  SELECT l_partkey::VARCHAR AS src, CASE l_returnflag WHEN 'N' THEN (l_partkey + l_suppkey)::VARCHAR WHEN 'R' THEN '__none__' WHEN 'A' THEN l_suppkey::VARCHAR END AS dst, l_linestatus AS kind FROM lineitem WHERE l_quantity < 20
+  UNION ALL SELECT p_partkey::VARCHAR, '', 'O' FROM part
+), e AS (SELECT * FROM raw WHERE dst <> '' AND dst <> '__none__'
+), r AS (SELECT p_partkey::VARCHAR AS node FROM part WHERE p_size = 11 UNION SELECT dst FROM r JOIN e ON e.src = r.node)
+SELECT src, dst, kind FROM e WHERE src IN (SELECT node FROM r)
+""")
+def dep_tree_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Declared dependencies as they stand, repeats and all: the marker of none and blanks go, unknown targets stay."""
+    l = table(spark, d, "lineitem").where("l_quantity < 20")
+    dst = F.when(F.col("l_returnflag") == "N", (F.col("l_partkey") + F.col("l_suppkey")).cast("string")).when(F.col("l_returnflag") == "R", "__none__").when(F.col("l_returnflag") == "A", F.col("l_suppkey").cast("string"))
+    raw = l.select(F.col("l_partkey").cast("string").alias("src"), dst.alias("dst"), F.col("l_linestatus").alias("kind"))
+    raw = raw.unionByName(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("src"), F.lit("").alias("dst"), F.lit("O").alias("kind")))
+    from_parts = seeds(spark, d).select(F.col("node").cast("string").alias("node"))
+    return G.dependency_tree(from_parts, raw, repeats=True)
+
+
 def _pagerank_sql(rounds: int) -> str:
     sql = f"WITH {EDGES}, n0 AS (SELECT src AS node FROM e UNION SELECT dst FROM e UNION SELECT node FROM s), n AS (SELECT node, CASE WHEN node IN (SELECT node FROM s) THEN 1.0 / (SELECT count(*) FROM s) ELSE 0 END AS p, coalesce(deg, 0) AS deg FROM n0 LEFT JOIN (SELECT src, count(*) AS deg FROM e GROUP BY 1) ON src = node), r0 AS (SELECT node, p, deg, 1.0::DOUBLE / (SELECT count(*) FROM n0) AS x FROM n)"
     for i in range(rounds):
@@ -59,44 +77,33 @@ def edge_contraction(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE i AS (SELECT c_custkey AS k, 'e' || (c_custkey // 3)::VARCHAR AS a, 'n' || floor(c_acctbal)::BIGINT::VARCHAR AS b FROM customer),
-l AS (SELECT x.k AS src, y.k AS dst FROM i x JOIN i y ON x.a = y.a OR x.b = y.b), r AS (SELECT k AS node, k AS seen FROM i UNION SELECT r.node, l.dst FROM r JOIN l ON l.src = r.seen)
-SELECT node, min(seen) AS label FROM r GROUP BY 1
-""")
-def identity_components(spark: SparkSession, d: str) -> DataFrame:
-    """Contributors that share an address or a full name are one: each name is a star around its smallest holder."""
-    c = table(spark, d, "customer")
-    tags = c.select(F.col("c_custkey").alias("node"), F.explode(F.array(F.concat(F.lit("e"), F.floor(F.col("c_custkey") / 3).cast("string")), F.concat(F.lit("n"), F.floor("c_acctbal").cast("string")))).alias("tag"))
-    hub = tags.groupBy("tag").agg(F.min("node").alias("dst"))
-    star = tags.join(hub, "tag").where("node <> dst").select(F.col("node").alias("src"), "dst")
-    return G.components(star, c.select(F.col("c_custkey").alias("node")))
-
-
-@query("""
-WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey * 100000 + l_suppkey AS alias FROM lineitem WHERE l_returnflag = 'R'),
+WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey * 100000 + l_suppkey AS alias FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND year(o_orderdate) BETWEEN 1993 AND 1997),
 l AS (SELECT x.id AS src, y.id AS dst FROM v x JOIN v y ON x.alias = y.alias), r AS (SELECT id AS node, id AS seen FROM v UNION SELECT r.node, l.dst FROM r JOIN l ON l.src = r.seen), g AS (SELECT node, min(seen) AS canonical FROM r GROUP BY 1)
 SELECT canonical, count(*)::BIGINT AS ids, min(o_orderdate) AS published FROM g JOIN orders ON node = o_orderkey GROUP BY 1
 """)
 def vuln_alias_components(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("node"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("alias")).distinct()
-    hub = v.groupBy("alias").agg(F.min("node").alias("dst"))
-    found = G.components(v.join(hub, "alias").where("node <> dst").select(F.col("node").alias("src"), "dst"), v.select("node"))
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), "o_orderdate")
-    return found.join(o, "node").groupBy(F.col("label").alias("canonical")).agg(F.count("*").alias("ids"), F.min("o_orderdate").alias("published"))
+    """Reports that share an identifier are one; those published outside the years are out before they can connect others."""
+    o = table(spark, d, "orders").where("year(o_orderdate) between 1993 and 1997").select(F.col("o_orderkey").alias("node"), "o_orderdate")
+    v = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("node"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("alias")).join(o, "node").distinct()
+    return G.merge_aliases(v, "node", "alias", "o_orderdate").select(F.col("label").alias("canonical"), "ids", F.col("first").alias("published"))
 
 
 @query("SELECT c_custkey, bool_or(c_acctbal > 9900) OVER (PARTITION BY c_nationkey) AS intent FROM customer")
 def owner_propagation(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select("c_custkey", F.bool_or(F.col("c_acctbal") > 9900).over(Window.partitionBy("c_nationkey")).alias("intent"))
+    """One flag an owner, joined back: no owner's repositories meet in one task."""
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", (F.col("c_acctbal") > 9900).alias("own"))
+    flags = c.groupBy("c_nationkey").agg(F.bool_or("own").alias("intent"))
+    return c.join(flags, "c_nationkey").select("c_custkey", "intent")
 
 
 @query("""
 SELECT coalesce(a.k, b.k) AS project, round(1.39 * coalesce(deb, 0) + 1.0 * coalesce(brew, 0), 4) AS score, coalesce(tag, false) AS cpp
-FROM (SELECT p_name AS k, max(p_retailprice) AS deb, bool_or(p_size > 45) AS tag FROM part WHERE p_partkey % 3 = 0 GROUP BY 1) a
-FULL JOIN (SELECT p_name AS k, max(p_size) AS brew FROM part WHERE p_partkey % 5 = 0 GROUP BY 1) b ON a.k = b.k
+FROM (SELECT p_name AS k, max(p_retailprice) AS deb, bool_or(p_size > 45) AS tag FROM part GROUP BY 1) a
+FULL JOIN (SELECT s_name AS k, max(s_acctbal) AS brew FROM supplier GROUP BY 1 UNION ALL SELECT p_name, max(p_size) FROM part GROUP BY 1 HAVING max(p_size) > 49) b ON a.k = b.k
 """)
 def combine_sources(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
-    a = p.where("p_partkey % 3 = 0").groupBy(F.col("p_name").alias("project")).agg(F.max("p_retailprice").alias("deb"), F.bool_or(F.col("p_size") > 45).alias("tag"))
-    b = p.where("p_partkey % 5 = 0").groupBy(F.col("p_name").alias("project")).agg(F.max("p_size").alias("brew"))
+    a = p.groupBy(F.col("p_name").alias("project")).agg(F.max("p_retailprice").alias("deb"), F.bool_or(F.col("p_size") > 45).alias("tag"))
+    b = p.groupBy(F.col("p_name").alias("project")).agg(F.max("p_size").cast("double").alias("brew")).where("brew > 49")
+    b = b.unionByName(table(spark, d, "supplier").groupBy(F.col("s_name").alias("project")).agg(F.max("s_acctbal").alias("brew")))
     return a.join(b, "project", "full_outer").select("project", F.round(1.39 * F.coalesce("deb", F.lit(0)) + 1.0 * F.coalesce("brew", F.lit(0)), 4).alias("score"), F.coalesce("tag", F.lit(False)).alias("cpp"))

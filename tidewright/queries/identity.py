@@ -37,45 +37,6 @@ def host_priority_pick(spark: SparkSession, d: str) -> DataFrame:
     return wide.select("pkg", F.coalesce(*urls.HOST_PRIORITY).alias("git"))
 
 
-@query("""
-SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN 'override' WHEN p_partkey % 4 = 0 THEN 'eco_strong' WHEN p_size > 10 THEN 'prior' WHEN p_partkey % 4 = 1 THEN 'eco_weak' ELSE 'none' END AS via,
- CASE WHEN p_partkey % 13 = 0 THEN 'o/' || p_name WHEN p_partkey % 4 = 0 THEN 'e/' || p_brand WHEN p_size > 10 THEN 'p/' || p_name WHEN p_partkey % 4 = 1 THEN 'w/' || p_brand END AS repo FROM part
-""")
-def authority_resolve(spark: SparkSession, d: str) -> DataFrame:
-    """Override, strong registry match, what was known, weak match: one ordered choice."""
-    k = F.col("p_partkey")
-    choice = F.coalesce(
-        F.when(k % 13 == 0, F.struct(F.lit("override").alias("via"), F.concat(F.lit("o/"), "p_name").alias("repo"))),
-        F.when(k % 4 == 0, F.struct(F.lit("eco_strong").alias("via"), F.concat(F.lit("e/"), "p_brand").alias("repo"))),
-        F.when(F.col("p_size") > 10, F.struct(F.lit("prior").alias("via"), F.concat(F.lit("p/"), "p_name").alias("repo"))),
-        F.when(k % 4 == 1, F.struct(F.lit("eco_weak").alias("via"), F.concat(F.lit("w/"), "p_brand").alias("repo"))),
-        F.struct(F.lit("none").alias("via"), F.lit(None).cast("string").alias("repo")),
-    )
-    return table(spark, d, "part").select("p_partkey", choice.alias("c")).select("p_partkey", "c.via", "c.repo")
-
-
-@query("SELECT verdict, count(*)::BIGINT AS n FROM (SELECT CASE WHEN a IS NULL AND b IS NULL THEN 'both_empty' WHEN a IS NULL THEN 'ours_only' WHEN b IS NULL THEN 'eco_only' WHEN a = b THEN 'match' ELSE 'mismatch' END AS verdict FROM (SELECT CASE WHEN p_size % 3 > 0 THEN p_size % 5 END AS a, CASE WHEN p_size % 4 > 0 THEN p_partkey % 5 END AS b FROM part)) GROUP BY 1")
-def audit_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    a, b = F.when(F.col("p_size") % 3 > 0, F.col("p_size") % 5), F.when(F.col("p_size") % 4 > 0, F.col("p_partkey") % 5)
-    verdict = F.when(a.isNull() & b.isNull(), "both_empty").when(a.isNull(), "ours_only").when(b.isNull(), "eco_only").when(a == b, "match").otherwise("mismatch")
-    return table(spark, d, "part").groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"))
-
-
-@query("SELECT s_suppkey, CASE WHEN s_suppkey % 9 = 0 THEN true WHEN s_suppkey % 2 = 0 THEN true WHEN s_acctbal > 3000 THEN true WHEN s_acctbal < 0 THEN false END AS valid FROM supplier")
-def verdict_join(spark: SparkSession, d: str) -> DataFrame:
-    """A pin wins, a known project id is valid by itself, else what was checked."""
-    s = table(spark, d, "supplier")
-    pins = s.where("s_suppkey % 9 = 0").select(F.col("s_suppkey").alias("_p"), F.lit(True).alias("pin"))
-    seen = s.select(F.col("s_suppkey").alias("_s"), F.when(F.col("s_acctbal") > 3000, True).when(F.col("s_acctbal") < 0, False).alias("seen"))
-    rows = s.join(pins, F.col("s_suppkey") == F.col("_p"), "left").join(seen, F.col("s_suppkey") == F.col("_s"), "left")
-    return rows.select("s_suppkey", F.coalesce("pin", F.when(F.col("s_suppkey") % 2 == 0, True), "seen").alias("valid"))
-
-
-@query("SELECT c_nationkey AS slug, bool_or(c_custkey % 50 = c_nationkey) AS current_known, count(*)::BIGINT AS rows FROM customer GROUP BY 1")
-def drift_detection(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("slug")).agg(F.bool_or(F.col("c_custkey") % 50 == F.col("c_nationkey")).alias("current_known"), F.count("*").alias("rows"))
-
-
 @query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey NOT IN (1, 2) AND (s_name LIKE '%7' OR s_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_suppkey < 5))")
 def rename_candidates(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")

@@ -76,16 +76,24 @@ def alias_first_wins(spark: SparkSession, d: str) -> DataFrame:
     return J.first_wins(sources, "alias")
 
 
-@query("""
-SELECT page_id, dom FROM (SELECT page_id, dom, row_number() OVER (PARTITION BY page_id ORDER BY length(dom) DESC, dom) AS r
-FROM (SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/:?#]*)', 1), '^www\\.', '') AS host FROM pages), (VALUES ('example.com'), ('example.org'), ('www.example.net'), ('m.ththth.example.net')) t(dom)
-WHERE (host = dom OR host LIKE '%.' || dom)) WHERE r = 1
+HOST = "regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/:?#]*)', 1), '^www\\.', '')"
+
+
+@query(rf"""
+WITH h AS (SELECT page_id, {HOST} AS host FROM pages),
+rules AS (SELECT 'example.com' AS dom, 'com' AS label, false AS exclude UNION ALL SELECT 'example.org', 'org', false UNION ALL SELECT 'example.net', 'net', false UNION ALL SELECT 'org', 'any', false
+  UNION ALL SELECT DISTINCT host, 'own ' || host, false FROM h WHERE page_id < 40 UNION ALL SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1), NULL, true FROM h WHERE host LIKE 't%')
+SELECT page_id, host, CASE WHEN NOT coalesce((SELECT bool_or(exclude) FROM rules WHERE dom <> '' AND (host = dom OR host LIKE '%.' || dom)), false)
+  THEN (SELECT label FROM rules WHERE dom <> '' AND label IS NOT NULL AND (host = dom OR host LIKE '%.' || dom) ORDER BY length(dom) DESC, label LIMIT 1) END AS label FROM h
 """)
 def suffix_domain_match(spark: SparkSession, d: str) -> DataFrame:
-    domains = spark.createDataFrame([("example.com",), ("example.org",), ("www.example.net",), ("m.ththth.example.net",)], "dom string")
-    pages = table(spark, d, "pages").select("page_id", F.explode(urls.domain_suffixes(urls.apex(F.col("url")))).alias("dom"))
-    hit = pages.join(F.broadcast(domains), "dom")
-    return windows.first_by(hit, ["page_id"], F.desc(F.length("dom")), F.col("dom")).select("page_id", "dom")
+    """Exclusions first, however short, then the longest domain: the rules come from the pages' own hosts."""
+    pages = table(spark, d, "pages").select("page_id", urls.apex(F.col("url")).alias("host"))
+    kind = "domain string, label string, exclude boolean"
+    rules = spark.createDataFrame([("example.com", "com", False), ("example.org", "org", False), ("example.net", "net", False), ("org", "any", False)], kind)
+    own = pages.where("page_id < 40").select(F.col("host").alias("domain"), F.concat(F.lit("own "), "host").alias("label"), F.lit(False).alias("exclude")).distinct()
+    barred = pages.where(F.col("host").startswith("t")).select(F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("domain"), F.lit(None).cast("string").alias("label"), F.lit(True).alias("exclude")).distinct()
+    return J.match_suffix(pages, "host", rules.unionByName(own).unionByName(barred))
 
 
 @query("""

@@ -24,7 +24,7 @@ def stream_year_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT user_id, max_by(value, (ts, event_id)) AS value FROM events GROUP BY 1")
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     rows = event_stream(spark, d).withColumn("at", F.struct("ts", "event_id"))
-    return incremental.drain(incremental.upsert_latest(rows, "user_id", "at", "value"), "complete", "latest")
+    return incremental.drain(incremental.upsert_latest(rows, "user_id", "at", "value"), "update", "latest", "user_id")
 
 
 @query("SELECT date_trunc('day', ts) AS start, event_type, count(*)::BIGINT AS n FROM events GROUP BY 1, 2")

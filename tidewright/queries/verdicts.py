@@ -185,11 +185,9 @@ def nav_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE pts AS (SELECT datediff('day', DATE '1990-01-01', o_orderdate::DATE)::BIGINT AS x, count(*)::BIGINT AS n FROM orders GROUP BY 1),
-r(lo, hi) AS (SELECT min(x), max(x) + 1 FROM pts UNION ALL
- SELECT CASE WHEN s = 0 THEN lo ELSE lo + (hi - lo) // 2 END, CASE WHEN s = 0 THEN lo + (hi - lo) // 2 ELSE hi END FROM r, (VALUES (0), (1)) t(s)
- WHERE hi - lo > 1 AND (SELECT sum(n) FROM pts WHERE x >= lo AND x < hi) > 100)
-SELECT lo, hi, (SELECT sum(n) FROM pts WHERE x >= lo AND x < hi)::BIGINT AS n FROM r WHERE (SELECT sum(n) FROM pts WHERE x >= lo AND x < hi) > 0 AND (hi - lo = 1 OR (SELECT sum(n) FROM pts WHERE x >= lo AND x < hi) <= 100)
+WITH pts AS (SELECT datediff('day', DATE '1990-01-01', o_orderdate::DATE)::BIGINT AS x, count(*)::BIGINT AS n FROM orders GROUP BY 1),
+r AS (SELECT x, n, n > 50 AS heavy, sum(n) OVER (ORDER BY x) - n AS before, sum((n > 50)::INT) OVER (ORDER BY x) AS part FROM pts)
+SELECT min(x) AS lo, max(x) + 1 AS hi, sum(n)::BIGINT AS n FROM r GROUP BY part, CASE WHEN heavy THEN -1 ELSE before // 50 END
 """)
 def adaptive_ranges(spark: SparkSession, d: str) -> DataFrame:
     days = table(spark, d, "orders").select(F.datediff(F.col("o_orderdate").cast("date"), F.lit("1990-01-01").cast("date")).alias("x"))
