@@ -3,8 +3,8 @@
 Spark's tasks split texts into words by the vocabulary's pattern. The distinct
 words are counted, each is encoded once, and the ids are joined back by
 position: words of the frequent head, a table of bounded size, in a map-side
-join; all others in a shuffled join that carries the text's key and the word's
-place. Ids turn into text again through the table of pieces, which is as
+join; all others in a shuffled join that carries the key of their block of texts
+and their place in it. Ids turn into text again through the table of pieces, which is as
 large as the vocabulary.
 
 A null or empty text has no tokens. Added tokens of the vocabulary that stand in
@@ -13,8 +13,10 @@ a text become their own ids. Equal rows give equal rows; no rows give no rows.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -26,7 +28,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers import pre_tokenizers
 
 from tidewright.llm.common import Rolling, materialize, ship, spans_of, tidy, utf8_view
@@ -196,49 +198,79 @@ def merge_word(word: bytes, v: ByteBpe) -> list[int]:
     return [i for i in ids if i >= 0]
 
 
-def encode_distinct(words: DataFrame, v: ByteBpe) -> DataFrame:
-    """words (word, n) with `ids`, the word's ids as packed integers."""
-    sent = ship(words.sparkSession, v)
+def _packed(words: pa.Table, buckets: int) -> pa.RecordBatch:
+    """(bucket, words): the words of each bucket of their hash, with their counts, sorted and compressed."""
+    flat = words.column("word").combine_chunks()
+    bucket = (_hashes(flat) % np.uint64(buckets)).astype(np.int64)
+    ordered = words.append_column("bucket", pa.array(bucket)).sort_by([("bucket", "ascending"), ("word", "ascending")]).combine_chunks()
+    present, starts = np.unique(ordered.column("bucket").to_numpy(), return_index=True)
+    ends, plain = np.append(starts[1:], len(ordered)), ordered.drop_columns(["bucket"])
+    blobs = [zstandard.compress(_to_bytes(plain.slice(lo, hi - lo)), 3) for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(present), pa.array(blobs, pa.binary())], ["bucket", "words"])
 
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = sent()
-        for batch in batches:
-            ids = [np.array([v.added[w]] if w in v.added else merge_word(w.encode(), v), v.width).tobytes() for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, ids binary")
+def _to_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
 
 
-def _count_words(sent: Callable[[], Splitter], most: int = 1 << 20):
-    """(word, n): counts within a task; what it holds is given out when it has more than `most` words."""
+def _sums(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+
+def _count_words(sent: Callable[[], Splitter], buckets: int, most: int = 1 << 20):
+    """Counts of a task's distinct words, packed by bucket; what a task holds is given out when it has more than `most` words."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, held = sent(), []
-
-        def merged() -> pa.Table:
-            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
-
         for batch in batches:
             for _, _, words, _ in splitter.spans(batch.column("text")):
                 counts = words.value_counts()
                 held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
                 if sum(map(len, held)) > 2 * most:
-                    held = [merged()]
+                    held = [_sums(held)]
                     if len(held[0]) > most:
-                        yield from held.pop().cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(1 << 16)
+                        yield _packed(held.pop(), buckets)
+        if sum(map(len, held)):
+            yield _packed(_sums(held), buckets)
+
+    return run
+
+
+def _encode_counted(sent: Callable[[], ByteBpe], most: int = 1 << 20):
+    """(word, n, ids) of the buckets that a task has: their words counted together and each encoded once."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, held = sent(), []
+        for batch in batches:
+            for blob in batch.column("words").to_pylist():
+                held.append(pa.ipc.open_stream(zstandard.decompress(blob)).read_all())
+                if sum(map(len, held)) > 2 * most:
+                    held = [_sums(held)]
         if held:
-            yield from merged().cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches(1 << 16)
+            for part in _sums(held).to_batches(1 << 16):
+                ids = [np.array([v.added[w]] if w in v.added else merge_word(w.encode(), v), v.width).tobytes() for w in part.column("word").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("word").cast(pa.string()), part.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
     return run
 
 
 def word_table(docs: DataFrame, v: ByteBpe) -> DataFrame:
-    """(word, n, ids): every distinct word of the texts, how often it occurs, its ids; written to the shared folder."""
-    sent = ship(docs.sparkSession, Splitter(character_classes(), [t.encode() for t in v.added]))
-    words = docs.select(_text().alias("text")).mapInArrow(_count_words(sent), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return materialize(encode_distinct(words, v), "words")
+    """(word, n, ids): every distinct word of the texts, how often it occurs, its ids; written to the shared folder.
+
+    Tasks count their words and send them packed by bucket; there are as many
+    buckets as shuffle partitions, so that what meets in a task is its share of
+    the distinct words.
+    """
+    spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = ship(spark, Splitter(character_classes(), [t.encode() for t in v.added]))
+    packed = docs.select(_text().alias("text")).mapInArrow(_count_words(sent, buckets), "bucket long, words binary")
+    return materialize(packed.repartition(buckets, "bucket").mapInArrow(_encode_counted(ship(spark, v)), "word string, n long, ids binary"), "words")
 
 
 def _text() -> Column:
@@ -297,84 +329,91 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _blocks(splitter: Splitter, head: Head, batch: pa.RecordBatch) -> Iterator[tuple[int, int, tuple[int, int], pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of rows: first and end row, key (128 bits of the texts' hash), words, their numbers in the head, sizes of their ids, each text's first word and the end."""
+    for lo, hi, words, offsets in splitter.spans(batch.column("text")):
+        raw, at, _ = utf8_view(words)
+        digest = hashlib.blake2b(raw, digest_size=16)
+        digest.update(offsets.tobytes())
+        found = head.find(words)
+        sizes = np.where(found >= 0, head.sizes[found], 0) if len(head.sizes) else np.zeros(len(found), np.int64)
+        yield lo, hi, struct.unpack("<qq", digest.digest()), words, found, sizes, offsets
+
+
 def _find_gaps(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
-    """A row (key_a, key_b, place, at, word) for every word beyond the head; at: how many ids of the head stand before it."""
+    """A row (key_a, key_b, place, at, word) for every word beyond the head; place: which word of the block, at: how many ids of the head stand before it."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, head = splitter(), sent()
         for batch in batches:
-            for lo, _, words, offsets in split.spans(batch.column("text")):
-                found = head.find(words)
+            for _, _, (a, b), words, found, sizes, _ in _blocks(split, head, batch):
                 gap = np.flatnonzero(found < 0)
-                row = np.searchsorted(offsets, gap, "right") - 1
-                before = np.concatenate([[0], np.cumsum(np.where(found < 0, 0, head.sizes[found] if len(head.sizes) else 0))])
-                keys = [batch.column(k).take(pa.array(lo + row)) for k in ("key_a", "key_b")]
-                place, at = (pa.array(x.astype(np.int32)) for x in (gap - offsets[row], before[gap] - before[offsets[row]]))
-                yield pa.RecordBatch.from_arrays([*keys, place, at, words.take(pa.array(gap)).cast(pa.string())], ["key_a", "key_b", "place", "at", "word"])
+                at = np.concatenate([[0], np.cumsum(sizes)])[gap]
+                keys = [pa.array(np.full(len(gap), k)) for k in (a, b)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(gap.astype(np.int32)), pa.array(at.astype(np.int32)), words.take(pa.array(gap)).cast(pa.string())], ["key_a", "key_b", "place", "at", "word"])
 
     return run
 
 
 def _fill_head(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
-    """Gives the ids of the head's words (packed and compressed) and the number of gaps; a row without gaps gets a key of its own, so that it is not sent where equal texts are."""
+    """A row for each block: its rows, the ids of the head's words (compressed), and where texts start among words (first) and how many ids they have so far (sizes).
+
+    A block without gaps gets a key of its own, so that it is not sent where equal blocks are.
+    """
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         split, head, number = splitter(), sent(), TaskContext.get().partitionId() << 40
-        pack = zstandard.ZstdCompressor(1).compress
+        pack = zstandard.ZstdCompressor(6).compress
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         for batch in batches:
-            for lo, hi, words, offsets in split.spans(batch.column("text")):
-                found = head.find(words)
+            for lo, hi, (a, b), _, found, sizes, offsets in _blocks(split, head, batch):
                 known = found >= 0
-                sizes = np.where(known, head.sizes[found], 0) if len(head.sizes) else np.zeros(len(found), np.int64)
+                gaps, number = int((~known).sum()), number + 1
                 ids = head.ids[_ragged(head.starts[found[known]], sizes[known])]
-                ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
-                gaps = np.diff(np.concatenate([[0], np.cumsum(~known)])[offsets])
-                packed = [pack(ids[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                own = gaps == 0
-                keys = [np.where(own, mine, batch.column(k).slice(lo, hi - lo).to_numpy(zero_copy_only=False)) for k, mine in (("key_a", number + np.arange(hi - lo)), ("key_b", -1))]
-                number += hi - lo
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), *map(pa.array, keys), pa.array(packed, pa.binary()), pa.array(gaps.astype(np.int32))], ["row", "key_a", "key_b", "ids", "gaps"])
+                done = np.diff(np.concatenate([[0], np.cumsum(sizes)])[offsets])
+                keys = (a, b) if gaps else (number, -1)
+                columns = [one(batch.column("row").slice(lo, hi - lo)), *(pa.array([k], pa.int64()) for k in keys), pa.array([pack(ids.tobytes())], pa.binary()), pa.array([gaps], pa.int32()), *(one(pa.array(x.astype(np.int32))) for x in (offsets, done))]
+                yield pa.RecordBatch.from_arrays(columns, ["rows", "key_a", "key_b", "ids", "gaps", "first", "sizes"])
 
     return run
 
 
 def _insert(width: type):
-    """Puts the fills (place, at, ids) of each row into its ids."""
+    """Puts the fills (place, at, ids) of each block into its ids, and gives its rows with their own."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            fills, out = batch.column("fills"), []
-            offsets = np.asarray(fills.offsets)
-            inside = fills.values
-            at, more = inside.field("at").to_numpy(zero_copy_only=False), inside.field("ids").to_pylist()
-            for i, (packed, gaps) in enumerate(zip(batch.column("ids").to_pylist(), batch.column("gaps").to_pylist(), strict=True)):
-                ids = np.frombuffer(unpack(packed), width)
+            for i in range(batch.num_rows):
+                rows, first, sizes = (batch.column(c)[i].values for c in ("rows", "first", "sizes"))
+                ids, gaps, fills = np.frombuffer(unpack(batch.column("ids")[i].as_py()), width), batch.column("gaps")[i].as_py(), batch.column("fills")[i].values
+                sizes = sizes.to_numpy().astype(np.int64)
+                if len(fills) != gaps:
+                    raise ValueError(f"{gaps} words of a block are not in the head, of which {len(fills)} came from the table of words")
                 if gaps:
-                    lo, hi = offsets[i], offsets[i + 1]
-                    if hi - lo != gaps:
-                        raise ValueError(f"{gaps} words of a text are not in the head, of which {hi - lo} came from the table of words")
-                    parts = [np.frombuffer(p, width) for p in more[lo:hi]]
-                    ids = np.insert(ids, np.repeat(at[lo:hi], [len(p) for p in parts]), np.concatenate(parts))
-                out.append(ids.astype(np.int32))
-            ends = np.cumsum([0, *map(len, out)])
-            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), tokens], ["row", "tokens"])
+                    place, at = (fills.field(c).to_numpy() for c in ("place", "at"))
+                    raw, offsets, _ = utf8_view(fills.field("ids"))
+                    n = np.diff(offsets) // np.dtype(width).itemsize
+                    ids = np.insert(ids, np.repeat(at, n), raw[offsets[0] : offsets[-1]].view(width))
+                    np.add.at(sizes, np.searchsorted(first.to_numpy(), place, "right") - 1, n)
+                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([rows, tokens], ["row", "tokens"])
 
     return run
 
 
-def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: int = 1 << 20, head_bytes: int = 64) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: int = 1 << 19, head_bytes: int = 64) -> DataFrame:
     """docs with `tokens` (array<int>) in place of `text`, which decode_tokens() gives back.
 
     head_words words of at most head_bytes bytes each are sent to all tasks; the
-    others meet their ids in a shuffled join. A column of docs called `tokens`
-    is replaced; bytes of a text that are no UTF-8 count as U+FFFD.
+    others meet their ids in a shuffled join, from which they come back to their
+    place in the block of texts that they stand in. A column of docs called
+    `tokens` is replaced; bytes of a text that are no UTF-8 count as U+FFFD.
     """
     v = load_vocabulary(path)
     spark = docs.sparkSession
@@ -383,14 +422,15 @@ def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: in
     splitter, sent = ship(spark, Splitter(character_classes(), [t.encode() for t in v.added])), ship(spark, head)
     kept = [c for c in docs.columns if c not in ("text", "tokens")]
     row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in kept)) if kept else F.struct(F.lit(0).alias("_none"))
-    rows = docs.select(row.alias("row"), _text().alias("text")).select("row", F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit(1), F.col("text")).alias("key_b"), "text")
-    gaps = rows.select("key_a", "key_b", "text").mapInArrow(_find_gaps(splitter, sent), "key_a long, key_b long, place int, at int, word string")
+    rows = docs.select(row.alias("row"), _text().alias("text"))  # both passes read the same columns, so that their blocks are the same
+    gaps = rows.mapInArrow(_find_gaps(splitter, sent), "key_a long, key_b long, place int, at int, word string")
     found = gaps.join(table.where(beyond).select("word", "ids"), "word")
-    # a set, since equal texts give equal rows; a text's own words beyond the head
+    # a set, since equal blocks give equal rows; a block's own words beyond the head
     fills = found.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_set(F.struct("place", "at", "ids"))).alias("fills"))
-    partial = rows.mapInArrow(_fill_head(splitter, sent), rows.select("row").schema.add("key_a", "long").add("key_b", "long").add("ids", "binary").add("gaps", "integer"))
+    kind = StructType().add("rows", ArrayType(rows.schema["row"].dataType)).add("key_a", "long").add("key_b", "long").add("ids", "binary").add("gaps", "integer").add("first", ArrayType(IntegerType())).add("sizes", ArrayType(IntegerType()))
+    blocks = rows.mapInArrow(_fill_head(splitter, sent), kind)
     empty = F.array().cast("array<struct<place:int,at:int,ids:binary>>")
-    whole = partial.join(fills, ["key_a", "key_b"], "left").select("row", "ids", "gaps", F.coalesce("fills", empty).alias("fills"))
+    whole = blocks.join(fills, ["key_a", "key_b"], "left").select("rows", "ids", "gaps", "first", "sizes", F.coalesce("fills", empty).alias("fills"))
     out = whole.mapInArrow(_insert(v.width), rows.select("row").schema.add("tokens", ArrayType(IntegerType())))
     return out.select("row.*", "tokens") if kept else out.select("tokens")
 
