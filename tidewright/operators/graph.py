@@ -8,12 +8,15 @@ that only the frontier or the ranks move.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewright.lineage import cut
 
@@ -117,40 +120,78 @@ def _key(c: str, turn: int) -> Column:
     return F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("to"))
 
 
-def contractions(edges: DataFrame) -> list[DataFrame]:
+def _joined_in_one_task(pairs: DataFrame) -> DataFrame:
+    """(node, to) for the nodes of pairs (a, b), which one task puts together: for a bounded number of pairs."""
+    kind = pairs.schema["a"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, number, above, types = [], {}, [], None
+
+        def find(i: int) -> int:
+            while above[i] != i:
+                above[i] = above[above[i]]
+                i = above[i]
+            return i
+
+        for batch in batches:
+            types = batch.schema.field("a").type
+            for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                roots = []
+                for node in pair:
+                    key = repr(node) if isinstance(node, dict | list) else node
+                    if key not in number:
+                        number[key] = len(nodes)
+                        nodes.append(node)
+                        above.append(len(above))
+                    roots.append(find(number[key]))
+                above[max(roots)] = min(roots)
+        if nodes:
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, types), pa.array([nodes[find(i)] for i in range(len(nodes))], types)], ["node", "to"])
+
+    return pairs.coalesce(1).mapInArrow(run, StructType().add("node", kind).add("to", kind))
+
+
+def contractions(edges: DataFrame, few: int = 1 << 17) -> list[DataFrame]:
     """Rounds of contraction: (node, to, least) for the nodes each round still had, until no edge is left.
 
-    Every node follows the neighbour of least hash (itself, if that is less) for
-    two steps; edges move to the nodes reached, and what then lies within one
-    node or is there twice goes. The hash changes each round, so that a chain
-    shrinks by a constant factor whatever its order. least: the smallest of the
-    original nodes that a node stands for.
+    Every node follows the neighbour of least hash for two steps (a pair that
+    follows each other meets in one of both); edges move to the nodes reached, and
+    what then lies within one node or is there twice goes. The hash changes each
+    round, so that a chain shrinks by a constant factor whatever its order, and a
+    star collapses at once. At most `few` edges are a
+    last round of one task. least: the smallest of the original nodes that a
+    node stands for.
     """
     pairs = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).where("src is not null and dst is not null and src <> dst")
     pairs, stands, rounds = cut(pairs.distinct()), None, []
-    while not pairs.isEmpty():
+    while left := pairs.count():
         turn = len(rounds)
-        both = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.least(_key("a", turn), _key("b", turn)).alias("k")), F.struct(F.col("b").alias("n"), F.least(_key("a", turn), _key("b", turn)).alias("k")))).alias("e"))
-        first = cut(both.groupBy(F.col("e.n").alias("node")).agg(F.min("e.k").alias("k")).select("node", F.col("k.to").alias("to")))
-        second = first.select(F.col("node").alias("to"), F.col("to").alias("_to"))
-        moved = first.join(second, "to").select("node", F.col("_to").alias("to"))
-        moved = moved.withColumn("least", F.col("node")) if stands is None else moved.join(stands, "node")
-        moved = cut(moved)
+        if left <= few:
+            moved = _joined_in_one_task(pairs)
+        else:
+            both = pairs.select(F.explode(F.array(*(F.struct(F.col(x).alias("node"), _key(y, turn).alias("k")) for x, y in ("ab", "ba")))).alias("e")).select("e.*")
+            first = both.groupBy("node").agg(F.min("k").alias("k")).select("node", F.col("k.to").alias("to"))
+            moved = first.join(first.select(F.col("node").alias("to"), F.col("to").alias("_to")), "to")
+            back = F.when(F.col("_to") == F.col("node"), F.least(_key("node", turn), _key("to", turn))["to"]).otherwise(F.col("_to"))  # two that follow each other meet in one
+            moved = moved.select("node", back.alias("to"))
+        moved = cut(moved.withColumn("least", F.col("node")) if stands is None else moved.join(stands, "node"))
         rounds.append(moved)
+        if left <= few:
+            break
         stands = moved.groupBy(F.col("to").alias("node")).agg(F.min("least").alias("least"))
         a, b = (moved.select(F.col("node").alias(c), F.col("to").alias(f"_{c}")) for c in ("a", "b"))
         pairs = cut(pairs.join(a, "a").join(b, "b").where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
     return rounds
 
 
-def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def components(edges: DataFrame, nodes: DataFrame | None = None, few: int = 1 << 17) -> DataFrame:
     """(node, label): label is the smallest node of the component; nodes without edges are their own.
 
     Labels go back from the last contraction to the first, so that every round
     costs what it still had of the graph.
     """
     label = edges.select(F.col("src").alias("node"), F.col("src").alias("label")).limit(0)
-    for moved in reversed(contractions(edges)):
+    for moved in reversed(contractions(edges, few)):
         ends = moved.groupBy(F.col("to").alias("_end")).agg(F.min("least").alias("_least"))
         # an end that the next round no longer has stands for what it holds
         ends = ends.join(label.withColumnRenamed("node", "_end"), "_end", "left").select("_end", F.coalesce("label", "_least").alias("label"))
