@@ -104,13 +104,13 @@ def test_ids_are_healed_to_a_fixpoint(spark):
     current = spark.createDataFrame([("New/A", "gh/1"), ("b", "gl/salsa-2"), ("c", "gh/3"), ("moved", "gh/4"), (None, "gh/5"), ("e", "")], "slug string, repo_id string")
     renames = spark.createDataFrame([("old/a", "mid/a"), ("Mid/A", "new/a"), ("x", "y"), ("y", "x"), ("b", "elsewhere"), (None, "z")], "old string, new string")
     rows = [
-        ("old/a", "99"), ("OLD/A", "gh/98"), ("b", "gh/2"), ("c", "gh/3"), ("c", "gh/33"), ("before", "gh/4"), ("gone", "gh/77"), ("x", "gh/78"), ("b", ""), (None, "gh/1"), ("e", "12"), (None, None),
+        ("old/a", "99"), ("OLD/A", "gh/98"), ("b", "gh/2"), ("c", "gh/3"), ("c", "gh/33"), ("before", "gh/4"), ("gone", "gh/77"), ("x", "gh/78"), ("b", ""), (None, "gh/3"), ("e", "12"), (None, None),
     ]
     healed, report = healing.heal_ids({"t": spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "slug string, repo_id string, n int")}, current, renames)
     got = {r["n"]: (r["slug"], r["repo_id"]) for r in healed["t"].collect()}
     assert got == {
         0: ("new/a", "gh/1"), 1: ("new/a", "gh/1"), 2: ("b", "gl/salsa-2"), 3: ("c", "gh/3"), 4: ("c", "gh/33"), 5: ("moved", "gh/4"), 6: ("gone", "gh/77"), 7: ("x", "gh/78"),
-        8: ("b", "gl/salsa-2"), 9: ("new/a", "gh/1"), 10: ("e", "gh/12"), 11: (None, ""),
+        8: ("b", "gl/salsa-2"), 9: ("c", "gh/3"), 10: ("e", "gh/12"), 11: (None, ""),
     }
     done = {(r["slug"], r["action"]): r["rows"] for r in report.collect()}
     assert done["new/a", "restamped"] == 2 and done["moved", "renamed"] == 1 and done["gone", "vanished"] == 1 and done["x", "vanished"] == 1

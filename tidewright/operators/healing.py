@@ -26,7 +26,7 @@ def final_names(renames: DataFrame) -> DataFrame:
         links, rounds = moved.select("old", "new"), rounds + 1
         if moved.where("going").isEmpty():
             return links
-        if 2**rounds > most:  # longer than any chain: what still moves goes in circles
+        if 2 ** (rounds - 1) > most:  # longer than any chain: what still moves goes in circles
             return moved.where("not going").select("old", "new")
 
 

@@ -29,11 +29,12 @@ def _marked(lines: DataFrame, schema: StructType, keys: list[str], separator: st
     header = separator.join(schema.names)
     text = StructType([*(StructField(n, StringType()) for n in schema.names), StructField(CORRUPT, StringType())])
     real = lines.where((F.trim("value") != "") & (F.col("value") != header) & (F.col("value") != F.lit('"' + f'"{separator}"'.join(schema.names) + '"')))
-    parsed = real.select(F.col("value").alias("line"), F.from_csv("value", _ddl(text), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": separator}).alias("row"))
+    parsed = real.select(F.col("value").alias("line"), F.from_csv("value", _ddl(text), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "sep": separator, "escape": '"'}).alias("row"))
     cell = lambda n: F.trim(F.col("row").getField(n))
     blank_key = _any([F.coalesce(cell(k), F.lit("")) == "" for k in keys])
     wrong = _any([(F.coalesce(cell(f.name), F.lit("")) != "") & cell(f.name).try_cast(f.dataType).isNull() for f in schema if not isinstance(f.dataType, StringType)])
-    return parsed.withColumn("reason", F.when(F.col("row").isNull() | F.col("row").getField(CORRUPT).isNotNull(), "ragged").when(blank_key, "bad key").when(wrong, "bad number"))
+    open_quote = (F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))) % 2 == 1
+    return parsed.withColumn("reason", F.when(open_quote | F.col("row").isNull() | F.col("row").getField(CORRUPT).isNotNull(), "ragged").when(blank_key, "bad key").when(wrong, "bad number"))
 
 
 def _any(conditions: list[Column]) -> Column:
