@@ -70,6 +70,12 @@ def test_unknown_ids_and_broken_bytes_decode_to_replacement_marks(spark):
     assert first == "��" + v.pieces[64].decode() and none == "" and (lone == "�" or len(ids("é")) == 1)
 
 
+def test_packed_numbers_come_back():
+    numbers = np.array([0, 1, 127, 128, 129, 16383, 16384, 2**21 - 1, 0, 5])
+    assert word_bpe.from_bytes(word_bpe.to_bytes(numbers)).tolist() == numbers.tolist()
+    assert word_bpe.from_bytes(word_bpe.to_bytes(numbers[:0])).tolist() == []
+
+
 def test_vocabularies_of_another_kind_are_refused(tmp_path):
     with pytest.raises(ValueError, match="not a plain byte-level"):
         word_bpe.load_vocabulary("/opt/tokenizers/word_bpe_49k.json")

@@ -279,22 +279,23 @@ def _text() -> Column:
 
 @dataclass(frozen=True)
 class Head:
-    """The most frequent words in the order of their hashes, with their ids."""
+    """The most frequent words in the order of their hashes; rank: their places by frequency, from 1; starts, sizes: of their ids, by rank (0: no word)."""
 
     hashes: np.ndarray
     words: pa.Array
+    rank: np.ndarray
     ids: np.ndarray
     starts: np.ndarray
     sizes: np.ndarray
 
     def find(self, words: pa.Array) -> np.ndarray:
-        """Each word's number in the head, or -1: by hash, then by the word itself."""
+        """Each word's rank in the head, or 0: by hash, then by the word itself."""
         if not len(self.words) or not len(words):
-            return np.full(len(words), -1)
+            return np.zeros(len(words), np.int64)
         coded = words.dictionary_encode()
         near = np.minimum(np.searchsorted(self.hashes, hashes := _hashes(coded.dictionary)), len(self.hashes) - 1)
         same = (self.hashes[near] == hashes) & np.asarray(pc.equal(self.words.take(pa.array(near)), coded.dictionary))
-        return np.where(same, near, -1)[coded.indices.to_numpy(zero_copy_only=False)]
+        return np.where(same, self.rank[near], 0)[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
@@ -309,17 +310,16 @@ def _head(table: DataFrame, most: int, longest: int, width: type) -> tuple[Head,
     top = table.where(~long).orderBy(F.desc("n"), "word").limit(most).toArrow().combine_chunks()
     if not top.num_rows:
         nothing = np.zeros(0, np.int64)
-        return Head(nothing.astype(np.uint64), pa.array([], pa.large_string()), nothing.astype(width), nothing, nothing), long if most else F.lit(True)
+        return Head(nothing.astype(np.uint64), pa.array([], pa.large_string()), nothing, nothing.astype(width), np.zeros(1, np.int64), np.zeros(1, np.int64)), long if most else F.lit(True)
     last = top.slice(top.num_rows - 1).to_pylist()[0]
     words = top.column("word").combine_chunks().cast(pa.large_string())
     hashes = _hashes(words)
     order = np.argsort(hashes, kind="stable")
     again = np.concatenate([[False], hashes[order][1:] == hashes[order][:-1]])
     left_out, order = words.take(pa.array(order[again])).to_pylist(), order[~again]  # of words with one hash only the first is in the head
-    packed = top.column("ids").take(pa.array(order)).combine_chunks()
-    raw, offsets, _ = utf8_view(packed)
-    sizes = np.diff(offsets) // np.dtype(width).itemsize
-    head = Head(hashes[order], words.take(pa.array(order)), raw[offsets[0] : offsets[-1]].view(width).copy(), np.cumsum(sizes) - sizes, sizes)
+    raw, offsets, _ = utf8_view(top.column("ids").combine_chunks())
+    sizes = np.concatenate([[0], np.diff(offsets) // np.dtype(width).itemsize])
+    head = Head(hashes[order], words.take(pa.array(order)), order + 1, raw[offsets[0] : offsets[-1]].view(width).copy(), np.cumsum(sizes) - sizes, sizes)
     beyond = F.lit(False) if top.num_rows < most else (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > F.lit(last["word"])))
     return head, long | beyond | (F.col("word").isin(left_out) if left_out else F.lit(False))
 
@@ -329,35 +329,54 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _blocks(splitter: Splitter, head: Head, batch: pa.RecordBatch) -> Iterator[tuple[int, int, tuple[int, int], pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of rows: first and end row, key (128 bits of the texts' hash), words, their numbers in the head, sizes of their ids, each text's first word and the end."""
+def to_bytes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**21 in one to three bytes of seven bits each; the last byte has its high bit clear."""
+    n = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14)
+    out, at = np.zeros(int(n.sum()), np.uint8), np.cumsum(n) - n
+    for i in range(3):
+        here = n > i
+        out[at[here] + i] = (numbers[here] >> (7 * i)) & 127 | np.where(n[here] > i + 1, 128, 0)
+    return out.tobytes()
+
+
+def from_bytes(data: bytes) -> np.ndarray:
+    """The numbers that to_bytes() has written."""
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.flatnonzero(raw < 128)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    out = np.zeros(len(ends), np.int64)
+    for i in range(3):
+        here = starts + i <= ends
+        out[here] |= (raw[starts[here] + i].astype(np.int64) & 127) << (7 * i)
+    return out
+
+
+def _blocks(splitter: Splitter, head: Head, batch: pa.RecordBatch) -> Iterator[tuple[int, int, tuple[int, int], pa.Array, np.ndarray, np.ndarray]]:
+    """Runs of rows: first and end row, key (128 bits of the texts' hash), words, their ranks in the head, each text's first word and the end."""
     for lo, hi, words, offsets in splitter.spans(batch.column("text")):
-        raw, at, _ = utf8_view(words)
+        raw, _, _ = utf8_view(words)
         digest = hashlib.blake2b(raw, digest_size=16)
         digest.update(offsets.tobytes())
-        found = head.find(words)
-        sizes = np.where(found >= 0, head.sizes[found], 0) if len(head.sizes) else np.zeros(len(found), np.int64)
-        yield lo, hi, struct.unpack("<qq", digest.digest()), words, found, sizes, offsets
+        yield lo, hi, struct.unpack("<qq", digest.digest()), words, head.find(words), offsets
 
 
 def _find_gaps(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
-    """A row (key_a, key_b, place, at, word) for every word beyond the head; place: which word of the block, at: how many ids of the head stand before it."""
+    """A row (key_a, key_b, place, word) for every word beyond the head; place: which word of the block."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, head = splitter(), sent()
         for batch in batches:
-            for _, _, (a, b), words, found, sizes, _ in _blocks(split, head, batch):
-                gap = np.flatnonzero(found < 0)
-                at = np.concatenate([[0], np.cumsum(sizes)])[gap]
+            for _, _, (a, b), words, ranks, _ in _blocks(split, head, batch):
+                gap = np.flatnonzero(ranks == 0)
                 keys = [pa.array(np.full(len(gap), k)) for k in (a, b)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(gap.astype(np.int32)), pa.array(at.astype(np.int32)), words.take(pa.array(gap)).cast(pa.string())], ["key_a", "key_b", "place", "at", "word"])
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(gap.astype(np.int32)), words.take(pa.array(gap)).cast(pa.string())], ["key_a", "key_b", "place", "word"])
 
     return run
 
 
-def _fill_head(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
-    """A row for each block: its rows, the ids of the head's words (compressed), and where texts start among words (first) and how many ids they have so far (sizes).
+def _rank_words(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
+    """A row for each block: its rows, its words' ranks in the head (packed; 0 for a gap) and each text's first word (first).
 
     A block without gaps gets a key of its own, so that it is not sent where equal blocks are.
     """
@@ -370,38 +389,36 @@ def _fill_head(splitter: Callable[[], Splitter], sent: Callable[[], Head]):
         pack = zstandard.ZstdCompressor(6).compress
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         for batch in batches:
-            for lo, hi, (a, b), _, found, sizes, offsets in _blocks(split, head, batch):
-                known = found >= 0
-                gaps, number = int((~known).sum()), number + 1
-                ids = head.ids[_ragged(head.starts[found[known]], sizes[known])]
-                done = np.diff(np.concatenate([[0], np.cumsum(sizes)])[offsets])
-                keys = (a, b) if gaps else (number, -1)
-                columns = [one(batch.column("row").slice(lo, hi - lo)), *(pa.array([k], pa.int64()) for k in keys), pa.array([pack(ids.tobytes())], pa.binary()), pa.array([gaps], pa.int32()), *(one(pa.array(x.astype(np.int32))) for x in (offsets, done))]
-                yield pa.RecordBatch.from_arrays(columns, ["rows", "key_a", "key_b", "ids", "gaps", "first", "sizes"])
+            for lo, hi, (a, b), _, ranks, offsets in _blocks(split, head, batch):
+                number += 1
+                keys = (a, b) if (ranks == 0).any() else (number, -1)
+                columns = [one(batch.column("row").slice(lo, hi - lo)), *(pa.array([k], pa.int64()) for k in keys), pa.array([pack(to_bytes(ranks))], pa.binary()), one(pa.array(offsets.astype(np.int32)))]
+                yield pa.RecordBatch.from_arrays(columns, ["rows", "key_a", "key_b", "ranks", "first"])
 
     return run
 
 
-def _insert(width: type):
-    """Puts the fills (place, at, ids) of each block into its ids, and gives its rows with their own."""
+def _place_ids(sent: Callable[[], Head], width: type):
+    """Puts ids in the place of words: those of the head by rank, the others from the block's fills (place, ids); gives the block's rows with their own."""
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack, head = zstandard.ZstdDecompressor().decompress, sent()
         for batch in batches:
             for i in range(batch.num_rows):
-                rows, first, sizes = (batch.column(c)[i].values for c in ("rows", "first", "sizes"))
-                ids, gaps, fills = np.frombuffer(unpack(batch.column("ids")[i].as_py()), width), batch.column("gaps")[i].as_py(), batch.column("fills")[i].values
-                sizes = sizes.to_numpy().astype(np.int64)
-                if len(fills) != gaps:
-                    raise ValueError(f"{gaps} words of a block are not in the head, of which {len(fills)} came from the table of words")
-                if gaps:
-                    place, at = (fills.field(c).to_numpy() for c in ("place", "at"))
+                rows, first, fills = (batch.column(c)[i].values for c in ("rows", "first", "fills"))
+                ranks = from_bytes(unpack(batch.column("ranks")[i].as_py()))
+                gaps = np.flatnonzero(ranks == 0)
+                if not np.array_equal(gaps, fills.field("place").to_numpy(zero_copy_only=False)):
+                    raise ValueError(f"{len(gaps)} words of a block are not in the head, of which {len(fills)} came from the table of words")
+                starts, sizes, pool = head.starts[ranks], head.sizes[ranks], head.ids
+                if len(gaps):
                     raw, offsets, _ = utf8_view(fills.field("ids"))
-                    n = np.diff(offsets) // np.dtype(width).itemsize
-                    ids = np.insert(ids, np.repeat(at, n), raw[offsets[0] : offsets[-1]].view(width))
-                    np.add.at(sizes, np.searchsorted(first.to_numpy(), place, "right") - 1, n)
-                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids.astype(np.int32)))
+                    own = (offsets - offsets[0]) // np.dtype(width).itemsize
+                    starts[gaps], sizes[gaps] = len(pool) + own[:-1], np.diff(own)
+                    pool = np.concatenate([pool, raw[offsets[0] : offsets[-1]].view(width)])
+                ends = np.concatenate([[0], np.cumsum(sizes)])[first.to_numpy()]
+                tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pool[_ragged(starts, sizes)].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([rows, tokens], ["row", "tokens"])
 
     return run
@@ -415,6 +432,8 @@ def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: in
     place in the block of texts that they stand in. A column of docs called
     `tokens` is replaced; bytes of a text that are no UTF-8 count as U+FFFD.
     """
+    if head_words >= 1 << 21:
+        raise ValueError("the head holds less than 2**21 words")
     v = load_vocabulary(path)
     spark = docs.sparkSession
     table = word_table(docs, v)
@@ -423,15 +442,15 @@ def encode_texts(docs: DataFrame, path: str = DEFAULT_VOCABULARY, head_words: in
     kept = [c for c in docs.columns if c not in ("text", "tokens")]
     row = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in kept)) if kept else F.struct(F.lit(0).alias("_none"))
     rows = docs.select(row.alias("row"), _text().alias("text"))  # both passes read the same columns, so that their blocks are the same
-    gaps = rows.mapInArrow(_find_gaps(splitter, sent), "key_a long, key_b long, place int, at int, word string")
+    gaps = rows.mapInArrow(_find_gaps(splitter, sent), "key_a long, key_b long, place int, word string")
     found = gaps.join(table.where(beyond).select("word", "ids"), "word")
     # a set, since equal blocks give equal rows; a block's own words beyond the head
-    fills = found.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_set(F.struct("place", "at", "ids"))).alias("fills"))
-    kind = StructType().add("rows", ArrayType(rows.schema["row"].dataType)).add("key_a", "long").add("key_b", "long").add("ids", "binary").add("gaps", "integer").add("first", ArrayType(IntegerType())).add("sizes", ArrayType(IntegerType()))
-    blocks = rows.mapInArrow(_fill_head(splitter, sent), kind)
-    empty = F.array().cast("array<struct<place:int,at:int,ids:binary>>")
-    whole = blocks.join(fills, ["key_a", "key_b"], "left").select("rows", "ids", "gaps", "first", "sizes", F.coalesce("fills", empty).alias("fills"))
-    out = whole.mapInArrow(_insert(v.width), rows.select("row").schema.add("tokens", ArrayType(IntegerType())))
+    fills = found.groupBy("key_a", "key_b").agg(F.array_sort(F.collect_set(F.struct("place", "ids"))).alias("fills"))
+    kind = StructType().add("rows", ArrayType(rows.schema["row"].dataType)).add("key_a", "long").add("key_b", "long").add("ranks", "binary").add("first", ArrayType(IntegerType()))
+    blocks = rows.mapInArrow(_rank_words(splitter, sent), kind)
+    empty = F.array().cast("array<struct<place:int,ids:binary>>")
+    whole = blocks.join(fills, ["key_a", "key_b"], "left").select("rows", "ranks", "first", F.coalesce("fills", empty).alias("fills"))
+    out = whole.mapInArrow(_place_ids(sent, v.width), rows.select("row").schema.add("tokens", ArrayType(IntegerType())))
     return out.select("row.*", "tokens") if kept else out.select("tokens")
 
 
