@@ -63,19 +63,25 @@ def resolve_authority(rows: DataFrame, key: str, bad_urls: DataFrame, bad_slugs:
     return chosen.select(key, git.alias("git"), github.alias("github"), F.coalesce("_pick.source", F.lit("")).alias("via"))
 
 
+def _renamed(renames: DataFrame) -> DataFrame:
+    """(_old, _new) of renames (old, new), lower-case; of several new names the smallest."""
+    return renames.where("old is not null").groupBy(F.lower("old").alias("_old")).agg(F.min(F.lower("new")).alias("_new"))
+
+
 def stamp_github(rows: DataFrame, renames: DataFrame, repos: DataFrame) -> DataFrame:
     """rows (git, slug and more) with repo_id, slug, git and upstream from repos (full_name, number, valid, upstream).
 
     Ids of earlier runs are cleared first. The slug is the address's, else the
     row's own; renames (old, new) lead to today's name. A slug without a valid
-    entry keeps its clone address and has no id.
+    entry keeps its clone address and has no id; of several entries of one name the least number counts.
     """
     own = F.coalesce(F.nullif(github_repo(F.col("git")), F.lit("")), F.lower(F.trim(F.coalesce("slug", F.lit("")))))
-    moved = renames.select(F.lower("old").alias("_old"), F.lower("new").alias("_new")).dropDuplicates(["_old"])
-    known = repos.where("valid AND number IS NOT NULL").select(F.lower("full_name").alias("_name"), F.col("full_name").alias("_full"), F.concat(F.lit("gh/"), F.col("number").cast("string")).alias("_id"), F.col("upstream").alias("_up")).dropDuplicates(["_name"])
-    joined = rows.drop("repo_id", "upstream").withColumn("_own", own).join(moved, F.col("_own") == F.col("_old"), "left").join(known, F.coalesce("_new", "_own") == F.col("_name"), "left")
+    moved = _renamed(renames)
+    entry = F.struct(F.col("full_name").alias("_full"), F.concat(F.lit("gh/"), F.col("number").cast("string")).alias("_id"), F.col("upstream").alias("_up"))
+    known = repos.where("valid AND number IS NOT NULL").groupBy(F.lower("full_name").alias("_name")).agg(F.min_by(entry, F.struct("number", "full_name", "upstream")).alias("_e")).select("_name", "_e.*")
+    joined = rows.drop("repo_id", "upstream").withColumn("_own", F.nullif(own, F.lit(""))).join(moved, F.col("_own") == F.col("_old"), "left").join(known, F.coalesce("_new", "_own") == F.col("_name"), "left")
     address = lambda s: F.concat(F.lit("https://github.com/"), s, F.lit(".git"))
-    git = F.when(F.col("_id").isNotNull(), address(F.col("_full"))).when(F.col("_own") != "", address(F.col("_own"))).otherwise(F.col("git"))
+    git = F.when(F.col("_id").isNotNull(), address(F.col("_full"))).when(F.col("_own").isNotNull(), address(F.col("_own"))).otherwise(F.col("git"))
     out = joined.withColumns({"git": git, "slug": F.coalesce("_full", "slug"), "repo_id": F.coalesce("_id", F.lit("")), "upstream": F.coalesce("_up", F.lit(""))})
     return out.drop("_own", "_old", "_new", "_name", "_full", "_id", "_up")
 
@@ -97,7 +103,7 @@ def stamp_gitlab(rows: DataFrame, projects: DataFrame) -> DataFrame:
 
 def backfill_ids(rows: DataFrame, slug: str, renames: DataFrame, layers: list[DataFrame]) -> DataFrame:
     """rows with repo_id by slug, over renames: the first of layers (slug, repo_id) that knows it; '' if none does."""
-    moved = renames.select(F.lower("old").alias("_old"), F.lower("new").alias("_new")).dropDuplicates(["_old"])
+    moved = _renamed(renames)
     ids = reduce(DataFrame.unionByName, [x.select(F.lower("slug").alias("_slug"), F.col("repo_id").alias("_id"), F.lit(n).alias("_n")) for n, x in enumerate(layers)])
     ids = ids.where("_id != ''").groupBy("_slug").agg(F.min_by("_id", F.struct("_n", "_id")).alias("_id"))
     joined = rows.join(moved, F.lower(slug) == F.col("_old"), "left").join(ids, F.coalesce("_new", F.lower(slug)) == F.col("_slug"), "left")

@@ -76,3 +76,10 @@ def match_suffix(rows: DataFrame, host: str, rules: DataFrame, out: str = "label
     best = hit.groupBy("_h").agg(F.bool_or("_x").alias("_x"), F.max_by("_l", F.when(F.col("_l").isNotNull(), F.struct(F.length("_d").alias("n"), "_d"))).alias("_l"))
     best = best.select("_h", F.when(~F.col("_x"), F.col("_l")).alias(out))
     return rows.join(best, F.lower(F.trim(F.col(host))) == F.col("_h"), "left").drop("_h")
+
+
+def sets_by_key(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, side) of the distinct rows of two tables: `both`, `first` or `second`; intersection and both differences of all keys in one shuffle. NULLs are equal."""
+    marked = a.select(*columns, F.lit(1).alias("_m")).unionByName(b.select(*columns, F.lit(2).alias("_m")))
+    sides = marked.groupBy(*columns).agg(F.bit_or("_m").alias("_m"))
+    return sides.select(*columns, F.when(F.col("_m") == 3, "both").when(F.col("_m") == 1, "first").otherwise("second").alias("side"))

@@ -140,9 +140,10 @@ new AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey = 77 THEN NULL ELS
 
 @query(f"""
 WITH {CHANGED}, n AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity NULLS FIRST, l_tax, day) AS r FROM new), o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity NULLS FIRST, l_tax, day) AS r FROM old),
-j AS (SELECT coalesce(n.l_orderkey, o.l_orderkey)::VARCHAR AS l_orderkey, coalesce(n.l_linenumber, o.l_linenumber)::VARCHAR AS l_linenumber, n.r AS nr, o.r AS o_r, n.l_quantity AS q1, o.l_quantity AS q2, n.l_tax AS t1, o.l_tax AS t2 FROM n FULL JOIN o ON n.l_orderkey = o.l_orderkey AND n.l_linenumber = o.l_linenumber AND n.r = o.r)
+j AS (SELECT coalesce(n.l_orderkey, o.l_orderkey)::VARCHAR AS l_orderkey, coalesce(n.l_linenumber, o.l_linenumber)::VARCHAR AS l_linenumber, n.r AS nr, o.r AS o_r, n.l_quantity AS q1, o.l_quantity AS q2, n.l_tax AS t1, o.l_tax AS t2, n.day AS d1, o.day AS d2 FROM n FULL JOIN o ON n.l_orderkey = o.l_orderkey AND n.l_linenumber = o.l_linenumber AND n.r = o.r)
 SELECT l_orderkey, l_linenumber, 'built_only' AS "column" FROM j WHERE o_r IS NULL UNION ALL SELECT l_orderkey, l_linenumber, 'stored_only' FROM j WHERE nr IS NULL
 UNION ALL SELECT l_orderkey, l_linenumber, 'l_quantity' FROM j WHERE nr IS NOT NULL AND o_r IS NOT NULL AND q1 IS DISTINCT FROM q2 UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax' FROM j WHERE nr IS NOT NULL AND o_r IS NOT NULL AND t1 IS DISTINCT FROM t2
+UNION ALL SELECT l_orderkey, l_linenumber, 'day' FROM j WHERE nr IS NOT NULL AND o_r IS NOT NULL AND d1 IS DISTINCT FROM d2
 """)
 def table_cell_differences(spark: SparkSession, d: str) -> DataFrame:
     """A few changed cells of lineitem: digests first, then only the buckets that differ."""

@@ -169,11 +169,14 @@ def union_first_label(spark: SparkSession, d: str) -> DataFrame:
     return J.first_wins(parts, "lic")
 
 
-@query("(SELECT 'both' AS side, l_partkey AS k FROM lineitem WHERE l_suppkey = 1 INTERSECT SELECT 'both', l_partkey FROM lineitem WHERE l_suppkey = 2) UNION ALL (SELECT 'first', l_partkey FROM lineitem WHERE l_suppkey = 1 EXCEPT SELECT 'first', l_partkey FROM lineitem WHERE l_suppkey = 2)")
+@query("""
+WITH a AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS k FROM lineitem WHERE l_returnflag = 'A')
+SELECT 'both' AS side, s AS l_suppkey, k AS l_partkey FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT 'first', s, k FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'second', s, k FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
+""")
 def set_intersect_except(spark: SparkSession, d: str) -> DataFrame:
+    """Parts that came back and that were accepted, for every supplier."""
     l = table(spark, d, "lineitem")
-    a, b = (l.where(F.col("l_suppkey") == i).select(F.col("l_partkey").alias("k")) for i in (1, 2))
-    return a.intersect(b).select(F.lit("both").alias("side"), "k").unionByName(a.subtract(b).select(F.lit("first").alias("side"), "k"))
+    return J.sets_by_key(l.where("l_returnflag = 'R'"), l.where("l_returnflag = 'A'"), ["l_suppkey", "l_partkey"])
 
 
 @query("SELECT c_nationkey, len(list_filter(list_distinct(list(c_mktsegment)), lambda x: x NOT IN ('BUILDING','MACHINERY','HOUSEHOLD','FURNITURE','AUTOMOBILE'))) = 0 AS subset FROM customer GROUP BY 1")

@@ -34,10 +34,10 @@ def wide_to_long(spark: SparkSession, d: str) -> DataFrame:
     return R.wide_to_long(wide, ["p_partkey"], ["size", "price"], "metric", "value")
 
 
-@query("SELECT p_partkey, p_name, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS note FROM part WHERE p_partkey % 2 = 0")
+@query("SELECT p_partkey, p_name, CASE WHEN p_type <> 'PROMO' THEN p_brand END AS note FROM part")
 def preserve_columns(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
-    return R.preserve_columns(p.where("p_partkey % 2 = 0").select("p_partkey", "p_name"), p.where("p_partkey % 3 = 0").select("p_partkey", F.col("p_brand").alias("note")), "p_partkey")
+    return R.preserve_columns(p.select("p_partkey", "p_name"), p.where("p_type <> 'PROMO'").select("p_partkey", F.col("p_brand").alias("note")), "p_partkey")
 
 
 @query("SELECT user_id, event_id, aliases FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY (event_type <> 'error') DESC, ts DESC, event_type) AS r FROM events) JOIN (SELECT user_id AS u, array_to_string(list_sort(list_distinct(list(event_type))), '|') AS aliases FROM events GROUP BY 1) ON u = user_id WHERE r = 1")

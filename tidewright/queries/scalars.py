@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.functions import licenses, numbers, packages, urls
+from tidewright.functions import funding, licenses, numbers, packages, urls
 from tidewright.queries.registry import query, table
 
 URLS = (
@@ -50,19 +50,21 @@ def platform_slug(spark: SparkSession, d: str) -> DataFrame:
     return url_table(spark, d).select("i", urls.platform_and_slug(F.col("u")).alias("c")).select("i", "c.platform", "c.slug")
 
 
-_CLONE = [
-    (0, "https://git.savannah.gnu.org/cgit/gettext.git", "git://git.savannah.gnu.org/gettext.git"), (1, "https://git.kernel.org/cgit/utils/kmod", "git://git.kernel.org/pub/scm/utils/kmod.git"),
-    (2, "https://sourceware.org/elfutils/", "git://sourceware.org/git/elfutils.git"), (3, "https://git.videolan.org/?p=vlc.git;a=summary", "https://code.videolan.org/videolan/vlc.git"),
-    (4, "http://git.linux-nfs.org/?p=steved/nfs-utils.git", "git://git.linux-nfs.org/projects/steved/nfs-utils.git"), (5, "https://anongit.freedesktop.org/git/mesa/mesa.git", "https://gitlab.freedesktop.org/mesa/mesa.git"),
-    (6, "https://git.xiph.org/opus.git", "https://gitlab.xiph.org/xiph/opus.git"), (7, "http://foo.git.sourceforge.net/", "git://git.code.sf.net/p/foo/code"), (8, "https://hg.mozilla.org/x", ""),
-    (9, "https://github.com/a/b", ""), (10, "git://gitlab.gnome.org/GNOME/glib.git", "https://gitlab.gnome.org/GNOME/glib.git"), (11, "https://git.gnupg.org/libgcrypt.git", ""), (12, "", ""),
-    (13, "https://gitlab.com/api/v4/projects/4207231/x", "https://gitlab.com/graphviz/graphviz.git"), (14, "https://gitlab.com/api/v4/projects/1/x", ""), (15, "http://example.org/x.git", "git://example.org/x.git"),
-]
-
-
-@query(f"SELECT i::BIGINT AS i, w AS clone FROM {_values(_CLONE)} t(i, u, w)")
+@query("""
+WITH n AS (SELECT *, replace(p_name, ' ', '-') AS n FROM part)
+SELECT p_partkey, CASE p_type WHEN 'STANDARD' THEN 'git://git.savannah.gnu.org/' || n || '.git' WHEN 'MEDIUM' THEN 'git://git.kernel.org/pub/scm/utils/' || n || '.git' WHEN 'PROMO' THEN 'https://gitlab.gnome.org/GNOME/' || n || '.git'
+  WHEN 'LARGE' THEN CASE WHEN p_size < 25 THEN '' ELSE 'https://code.videolan.org/videolan/' || n || '.git' END WHEN 'ECONOMY' THEN CASE WHEN p_size < 25 THEN 'git://git.code.sf.net/p/' || n || '/code' ELSE 'https://gitlab.xiph.org/xiph/' || n || '.git' END
+  ELSE CASE WHEN p_size < 40 THEN 'git://example.org/' || n || '.git' ELSE '' END END AS clone FROM n
+""")
 def url_canonicalize(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([(i, u) for i, u, _ in _CLONE], "i long, u string").select("i", urls.clone_url(F.col("u")).alias("clone"))
+    """Page addresses of hosts that clone elsewhere, over scheme or not at all."""
+    name = F.replace("p_name", F.lit(" "), F.lit("-"))
+    of = lambda before, after="": F.concat(F.lit(before), name, F.lit(after))
+    kind, small = F.col("p_type"), F.col("p_size") < 25
+    url = F.when(kind == "STANDARD", of("https://git.savannah.gnu.org/cgit/", ".git")).when(kind == "MEDIUM", of("https://git.kernel.org/cgit/utils/")).when(kind == "PROMO", of("git://gitlab.gnome.org/GNOME/", ".git"))
+    url = url.when((kind == "LARGE") & small, of("https://github.com/a/")).when(kind == "LARGE", of("https://git.videolan.org/?p=", ".git;a=summary"))
+    url = url.when((kind == "ECONOMY") & small, of("http://", ".git.sourceforge.net/")).when(kind == "ECONOMY", of("https://git.xiph.org/", ".git")).when(F.col("p_size") < 40, of("http://example.org/", ".git")).otherwise(of("https://hg.example.org/"))
+    return table(spark, d, "part").select("p_partkey", urls.clone_url(url).alias("clone"))
 
 
 @query("SELECT c_custkey, CASE c_nationkey % 4 WHEN 0 THEN 'gh/' || c_custkey WHEN 1 THEN 'gl/' || c_custkey WHEN 2 THEN 'gl/salsa-' || c_custkey END AS rid, coalesce(c_nationkey % 4 < 3, false) AS valid FROM customer")
@@ -80,13 +82,18 @@ def repo_group_key(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", urls.group_key(rid, url, F.col("p_brand"), F.col("p_name")).alias("grp"))
 
 
-_LIC = [(0, "MIT", True), (1, "GPL-3.0-or-later", True), (2, "Proprietary", False), (3, "noassertion", None), (4, "", None), (5, "Foo OR Apache-2.0", True), (6, "(MIT AND Custom)", True), (7, "gpl-2.0+ with classpath-exception", True), (8, "Other", None), (9, "BSL", False), (10, None, None), (11, "lgpl-2.1-only/foo", True)]
-
-
-@query("SELECT i::BIGINT AS i, oss FROM (VALUES " + ", ".join(f"({i}, {'NULL' if o is None else str(o).lower()}::BOOLEAN)" for i, _, o in _LIC) + ") t(i, oss)")
+@query("""
+WITH ok AS (SELECT DISTINCT lower(p_brand) AS b FROM part WHERE p_size = 50)
+SELECT p_partkey, CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_type = 'SMALL' THEN false ELSE lower(p_brand) IN (SELECT b FROM ok) END AS oss FROM part
+""")
 def license_expr_classify(spark: SparkSession, d: str) -> DataFrame:
-    approved = F.array(*[F.lit(x) for x in ("mit", "apache-2.0", "gpl-3.0", "gpl-2.0", "lgpl-2.1")])
-    return spark.createDataFrame([(i, t) for i, t, _ in _LIC], "i long, t string").select("i", licenses.is_open(F.col("t"), approved).alias("oss"))
+    """Single names, choices, brackets, suffixes, unknown and near misses; approved are the brands of one size."""
+    p = table(spark, d, "part")
+    approved = p.where("p_size = 50").agg(F.coalesce(F.collect_set(F.lower("p_brand")), F.array().cast("array<string>")).alias("approved"))  # a brand once
+    kind, b = F.col("p_type"), F.col("p_brand")
+    text = F.when(kind == "STANDARD", b).when(kind == "MEDIUM", F.concat(F.lit("Custom OR "), b)).when(kind == "PROMO", F.concat(F.lit("("), b, F.lit("-or-later AND Own)"))).when(kind == "LARGE", "NOASSERTION")
+    text = text.when(kind == "ECONOMY", F.concat(F.upper(b), F.lit("+ with classpath-exception"))).otherwise(F.concat(F.lit("not-"), b))
+    return p.crossJoin(F.broadcast(approved)).select("p_partkey", licenses.is_open(text, F.col("approved")).alias("oss"))
 
 
 _SQL_TEXT = r"""SELECT doc_id, CASE
@@ -95,7 +102,7 @@ WHEN regexp_matches(h, '(?is)permission is hereby granted,\s+free of charge,?\s+
 WHEN regexp_matches(h, '(?i)mozilla public license,\s*v\.?\s*2\.0|mpl-?2\.0') THEN 'MPL-2.0'
 WHEN regexp_matches(h, '(?i)gnu general public license\s+version 3') THEN 'GPL-3.0'
 WHEN regexp_matches(h, '(?i)creative commons attribution\s*4\.0') THEN 'CC-BY-4.0' ELSE '' END AS license
-FROM (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Apache License, Version 2.0 ' WHEN 1 THEN 'SPDX-License-Identifier: mit ' WHEN 2 THEN 'GNU General Public License version 3 ' ELSE '' END || coalesce(text, '') AS h FROM documents)"""
+FROM (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Apache License, Version 2.0 ' WHEN 1 THEN 'SPDX-License-Identifier: mit ' WHEN 2 THEN 'GNU General Public License version 3 ' ELSE '' END || coalesce(text, '') AS whole, substr(whole, 1, 50000) AS h FROM documents)"""
 
 
 @query(f"SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN 'MIT' ELSE license END AS license FROM ({_SQL_TEXT})")
@@ -106,44 +113,30 @@ def license_text_classify(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", licenses.license_of_text(text).alias("license"))
 
 
-_SPECS = [(0, ["Requests (>=2)", "requests", "Foo_Bar.baz; extra == 'x'", "zope.interface>=4"], "requests,zope-interface"), (1, [], ""), (2, ["A-b_C ; python_version<'3'", "typing_extensions"], "a-b-c,typing-extensions")]
-_DEB = [(0, "libc6 (>= 2.14), foo:any | bar, , python3 (= 3.1)", "libc6=>= 2.14;foo=;python3== 3.1"), (1, None, ""), (2, "a|b,c", "a=;c=")]
-
-
-@query(f"SELECT 'py' AS kind, i::BIGINT AS i, w AS deps FROM {_values([(i, w) for i, _, w in _SPECS])} t(i, w) UNION ALL SELECT 'deb', i, w FROM {_values([(i, w) for i, _, w in _DEB])} t(i, w)")
+@query("""
+SELECT p_partkey, replace(p_name, ' ', '-') || ',' || lower(p_type) || '-' || p_size AS py, 'lib' || p_size || '=>= ' || p_size || ';' || lower(p_type) || '=' || CASE WHEN p_size > 25 THEN ';python3== 3.1' ELSE '' END AS deb FROM part
+""")
 def dep_spec_parse(spark: SparkSession, d: str) -> DataFrame:
-    py = spark.createDataFrame([(i, s) for i, s, _ in _SPECS], "i long, s array<string>").select(F.lit("py").alias("kind"), "i", F.array_join(packages.python_requirements(F.col("s")), ",").alias("deps"))
-    rows = packages.debian_relations(F.col("s"))
-    deb = spark.createDataFrame([(i, s) for i, s, _ in _DEB], "i long, s string").select(F.lit("deb").alias("kind"), "i", F.array_join(F.transform(rows, lambda r: F.concat(r["name"], F.lit("="), r["version"])), ";").alias("deps"))
-    return py.unionByName(deb)
+    """Requirements in several spellings of one name, extras, versions; relations with alternatives, architectures and blanks."""
+    text = lambda *parts: F.concat(*(F.lit(x) if x[:1] != "$" else F.col(x[1:]).cast("string") for x in parts))
+    under, dots = (F.replace("p_name", F.lit(" "), F.lit(c)) for c in "_.")
+    specs = F.array(F.concat(F.upper(under), F.lit(" (>=2)")), F.concat(dots, F.lit(">=4,<5")), text("$p_type", "; extra == 'x'"), text("$p_type", "_", "$p_size", " ; python_version<'3'"))
+    field = F.concat(text("lib", "$p_size", " (>= ", "$p_size", "), "), F.lower("p_type"), F.lit(":any | bar, , "), F.when(F.col("p_size") > 25, "python3 (= 3.1)").otherwise(""))
+    deb = F.array_join(F.transform(packages.debian_relations(field), lambda r: F.concat(r["name"], F.lit("="), r["version"])), ";")
+    return table(spark, d, "part").select("p_partkey", F.array_join(packages.python_requirements(specs), ",").alias("py"), deb.alias("deb"))
 
 
-@query("SELECT 'CodeReview' AS raw, 'code_review' AS name UNION ALL SELECT 'CII-Best-Practices', 'cii_best_practices' UNION ALL SELECT 'SAST', 'sast' UNION ALL SELECT 'Token Permissions', 'token_permissions'")
+@query("SELECT p_partkey, 'is_' || lower(p_type) || '_' || replace(p_name, ' ', '_') || '_' || p_size AS name FROM part")
 def snake_case(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([("CodeReview",), ("CII-Best-Practices",), ("SAST",), ("Token Permissions",)], "raw string").select("raw", numbers.snake_case(F.col("raw")).alias("name"))
-
-
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'user' || c_custkey || '@noreply' ELSE lower(c_name) || '@x.org' END AS canon, CASE WHEN c_custkey % 2 = 0 THEN 'user' || c_custkey ELSE lower(c_name) END AS login FROM customer")
-def email_canon(spark: SparkSession, d: str) -> DataFrame:
-    e = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("123+User"), "c_custkey", F.lit("@users.noreply.github.com"))).otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit("@X.org")))
-    return table(spark, d, "customer").select("c_custkey", packages.canonical_email(e).alias("canon"), packages.login_of(F.col("c_name"), e).alias("login"))
-
-
-@query("SELECT o_orderkey, round(greatest(date_diff('day', o_orderdate::DATE, DATE '2000-12-31'), 0) / 365.25, 1) AS age FROM orders")
-def repo_age_years(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").select("o_orderkey", numbers.age_years(F.col("o_orderdate"), "2000-12-31").alias("age"))
-
-
-@query("SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/:?#]*)', 1), '^www\\.', '') AS apex, len(list_distinct(list_concat(string_split(regexp_extract(url, '://([^/?#]*)', 1), '.'), ['example', 'com'])))::INT AS channels FROM pages")
-def url_apex_channels(spark: SparkSession, d: str) -> DataFrame:
-    labels = F.split(F.regexp_extract("url", "://([^/?#]*)", 1), r"\.")
-    return table(spark, d, "pages").select("page_id", urls.apex(F.col("url")).alias("apex"), F.size(F.array_union(labels, F.array(F.lit("example"), F.lit("com")))).alias("channels"))
-
-
-def _funding(a: Column, b: Column, c: Column) -> Column:
-    return F.least(F.lit(79.0), numbers.geometric_mean(a, b, c))
-
-
-@query("SELECT s_suppkey, round(least(79, power((1 + s_nationkey) * (1 + abs(s_acctbal) / 100) * 50.0, 1 / 3.0)), 6) AS funding FROM supplier")
-def funding_score(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "supplier").select("s_suppkey", F.round(_funding(1 + F.col("s_nationkey"), 1 + F.abs("s_acctbal") / 100, F.lit(50.0)), 6).alias("funding"))
+    raw = F.concat(F.lit("Is"), F.initcap(F.lower("p_type")), F.lit(" "), F.initcap("p_name"), F.lit("-"), F.col("p_size").cast("string"), F.lit("!"))
+    return table(spark, d, "part").select("p_partkey", numbers.snake_case(raw).alias("name"))
+
+
+@query(r"""
+SELECT page_id, coalesce(nullif(regexp_extract(url, '/(\d{4,})(?:\?|$)', 1), ''), nullif(regexp_extract(url, '^https?://m\.([a-z]+)\.', 1), ''), nullif(regexp_extract(html, '<title>([^ <]+)', 1), ''), '') AS found FROM pages
+""")
+def first_match_over_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The address first, by each pattern in turn, then the page."""
+    by_address = funding.first_match([F.col("url")], [r"/(\d{4,})(?:\?|$)", r"^https?://m\.([a-z]+)\."])
+    by_page = funding.first_match([F.col("html")], [r"<title>([^ <]+)"])
+    return table(spark, d, "pages").select("page_id", F.coalesce(F.nullif(by_address, F.lit("")), by_page).alias("found"))
