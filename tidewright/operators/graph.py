@@ -96,23 +96,19 @@ def pagerank(edges: DataFrame, vertices: DataFrame, alpha: float = 0.85, rounds:
     if not n:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     share = F.col("w") / float(total) if total else F.lit(1.0 / n)
-    nodes = nodes.select("node", share.alias("p"), "out")
+    ranks = nodes.select("node", share.alias("p"), "out", F.lit(1.0 / n).alias("rank"))
     links = edges.join(out.select(F.col("node").alias("src"), "out"), "src").select("src", "dst", (1.0 / F.col("out")).alias("part"))
-    with _kept_by(links, "src") as links, _kept_by(nodes, "node") as nodes:
-        ranks, loose = nodes.select("node", F.lit(1.0 / n).alias("rank")), nodes.where("out is null").count() / n
+    with _kept_by(links, "src") as links:
+        loose = nodes.where("out is null").count() / n
         for _ in range(rounds or 100):
             sent = links.join(ranks.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("rank") * F.col("part")).alias("got"))
             rank = alpha * (F.coalesce("got", F.lit(0.0)) + loose * F.col("p")) + (1 - alpha) * F.col("p")
-            after = nodes.join(sent, "node", "left").select("node", "out", rank.alias("rank"))
-            if rounds is None:
-                after = after.join(ranks.withColumnRenamed("rank", "old"), "node")
-            after = cut(after)
-            change = F.sum(F.abs(F.col("rank") - F.col("old"))) if rounds is None else F.lit(None)
-            loose, moved = after.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)), change).first()
-            ranks = after.select("node", "rank")
+            after = cut(ranks.withColumnRenamed("rank", "old").join(sent, "node", "left").select("node", "p", "out", "old", rank.alias("rank")))
+            loose, moved = after.agg(F.coalesce(F.sum(F.when(F.col("out").isNull(), F.col("rank"))), F.lit(0.0)), F.sum(F.abs(F.col("rank") - F.col("old")))).first()
+            ranks = after.drop("old")
             if rounds is None and moved < n * tolerance:
                 break
-    return ranks
+    return ranks.select("node", "rank")
 
 
 def _key(c: str, turn: int) -> Column:
