@@ -54,3 +54,10 @@ def sidecar_agrees(data: DataFrame, status: DataFrame, key: str, ok: str) -> Dat
 def one_id_each(df: DataFrame, name: str, number: str) -> DataFrame:
     """Rows of one name agree on their id: (name, ids) of those that do not."""
     return df.where(F.col(number).isNotNull()).groupBy(name).agg(F.array_sort(F.collect_set(number)).alias("ids")).where(F.size("ids") > 1)
+
+
+def filled(df: DataFrame, scope: Column, column: str, name: str) -> DataFrame:
+    """Every row in scope has a value in the column; the detail names how many lack it, and the scope's size."""
+    blank = F.coalesce(F.trim(F.col(column).cast("string")), F.lit("")) == ""
+    sums = df.where(F.coalesce(scope, F.lit(False))).agg(F.count("*").alias("n"), F.coalesce(F.sum(blank.cast("long")), F.lit(0)).alias("bad"))
+    return sums.select(F.lit(f"filled: {name}").alias("check"), (F.col("bad") == 0).alias("ok"), F.concat(F.col("bad").cast("string"), F.lit(" of "), F.col("n").cast("string"), F.lit(" rows blank")).alias("detail"))
