@@ -49,6 +49,15 @@ def geometric_mean(*cols: Column) -> Column:
     return F.pow(product, F.lit(1.0 / len(cols)))
 
 
+def rounded(c: Column, places: int) -> Column:
+    """Half away from zero after scaling in doubles, as SQL engines and the C library do: 0.575 scales to 57.49999999999999 and gives 0.57.
+
+    Spark's round works on the shortest decimal spelling instead, so the two part where a value is half a unit up to its last bit.
+    """
+    scale = float(10**places)
+    return F.round(c.cast("double") * scale) / scale
+
+
 def worst_of(*cols: Column) -> Column:
     """The greatest component; NULL as soon as one is missing."""
     complete = cols[0].isNotNull()

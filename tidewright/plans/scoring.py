@@ -33,10 +33,10 @@ def risk(shipped: DataFrame, orders: DataFrame, p: Params = PARAMS) -> DataFrame
     b = stats.bus_factor_hhi(commits, "repo", "cust", "commits", p.bus_factor_share).select("repo", N.concentration_score(F.col("hhi"), F.col("bus_factor")).alias("concentration"))
     cve = F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 48), F.col("l_orderkey"))
     x = shipped.groupBy(F.col("l_suppkey").alias("repo")).agg(
-        F.round(F.sum("l_extendedprice") / F.sum("l_quantity"), 6).alias("loc"), F.count_distinct(cve).alias("cve"), F.round(F.sum("l_quantity") / F.count_distinct("l_orderkey"), 6).alias("load")
+        N.rounded(F.sum("l_extendedprice") / F.sum("l_quantity"), 6).alias("loc"), F.count_distinct(cve).alias("cve"), N.rounded(F.sum("l_quantity") / F.count_distinct("l_orderkey"), 6).alias("load")
     )
     x = W.percentiles(x, {"s": ("cve", "floor"), "c": ("loc", "high"), "w": ("load", "high")})
-    x = x.select("repo", F.round("c", 2).alias("complexity"), F.round("s", 2).alias("security"), F.round("w", 2).alias("workload"))
+    x = x.select("repo", *[N.rounded(F.col(c), 2).alias(out) for c, out in (("c", "complexity"), ("s", "security"), ("w", "workload"))])
     rows = b.join(x, "repo")
     return rows.withColumn("risk_score", N.geometric_mean(*map(F.col, ("concentration", "complexity", "security", "workload"))))
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright.functions import numbers as N
 from tidewright.plans import scoring
 from tidewright.queries.registry import query, table
 
@@ -43,7 +44,7 @@ def value_score(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {RISK} SELECT repo, round(concentration, 4) AS concentration, complexity, security, workload, round(risk_score, 4) AS risk_score FROM r")
 def risk_score(spark: SparkSession, d: str) -> DataFrame:
     r = scoring.risk(table(spark, d, "lineitem"), table(spark, d, "orders"))
-    return r.select("repo", F.round("concentration", 4).alias("concentration"), "complexity", "security", "workload", F.round("risk_score", 4).alias("risk_score"))
+    return r.select("repo", N.rounded(F.col("concentration"), 4).alias("concentration"), "complexity", "security", "workload", N.rounded(F.col("risk_score"), 4).alias("risk_score"))
 
 
 @query(f"WITH {ELIGIBLE} SELECT repo, oss AND intent AND nonprofit AND active AS eligible, CASE WHEN oss AND intent AND nonprofit AND active THEN '' ELSE array_to_string(list_filter([CASE WHEN NOT oss THEN 'oss' END, CASE WHEN NOT intent THEN 'intent' END, CASE WHEN NOT nonprofit THEN 'nonprofit' END, CASE WHEN NOT active THEN 'active' END], lambda x: x IS NOT NULL), '; ') END AS reasons FROM e")
