@@ -38,3 +38,7 @@ def test_rounded_scales_first(spark):
 
 def test_risk_score_rounds_as_its_sql_at_halves(spark, halves):
     assert differing(spark, halves, "risk_score") == 0
+
+
+def test_final_score_rounds_as_its_sql_at_halves(spark, halves):
+    assert differing(spark, halves, "final_score") == 0

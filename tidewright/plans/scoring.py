@@ -55,7 +55,8 @@ def eligibility(repos: DataFrame) -> DataFrame:
 def final(eligible: DataFrame, value_: DataFrame, risk_: DataFrame) -> DataFrame:
     """Every repository; score = sqrt(value x risk); priority 1..n over eligible rows with a score, ties by repo."""
     rows = cut(eligible.join(value_, "repo", "left").join(risk_, "repo", "left").withColumn("s", F.sqrt(F.col("value_score") * F.col("risk_score"))))
-    ranked = rows.where("eligible and s is not null").select("repo", F.round("s", 9).alias("v"))
+    ranked = rows.where("eligible and s is not null").select("repo", N.rounded(F.col("s"), 9).alias("v"))
     ranked = W.running_total(ranked, "v", "repo").select("repo", F.col("place").cast("long").alias("priority"))
     out = rows.join(ranked, "repo", "left")
-    return out.select("repo", F.round("value_score", 4).alias("value_score"), F.round("risk_score", 4).alias("risk_score"), "eligible", F.round("s", 4).alias("score"), "priority")
+    value_score, risk_score, score = (N.rounded(F.col(c), 4) for c in ("value_score", "risk_score", "s"))
+    return out.select("repo", value_score.alias("value_score"), risk_score.alias("risk_score"), "eligible", score.alias("score"), "priority")
