@@ -119,6 +119,15 @@ def test_aliases_merge_to_the_smallest_id_with_the_first_date(spark):
     assert got == {("A", 3, "2019"), ("D", 1, "2018")}
 
 
+def test_reports_of_all_years_merge_and_those_without_an_order_still_connect(spark, tmp_path):
+    lines = spark.createDataFrame([(1, 7, 3, "R"), (2, 7, 3, "R"), (2, 8, 3, "R"), (3, 8, 3, "R"), (3, 9, 3, "R"), (4, 9, 3, "R"), (5, 9, 3, "N")], "l_orderkey long, l_partkey long, l_suppkey long, l_returnflag string")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    dates = spark.createDataFrame([(1, "2000-05-01"), (2, "1995-02-01"), (4, "1991-03-01"), (5, "1990-01-01")], "o_orderkey long, d string")
+    dates.select("o_orderkey", F.to_timestamp("d").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = [(r["canonical"], r["ids"], str(r["published"])[:10]) for r in QUERIES["vuln_alias_components"](spark, str(tmp_path)).collect()]
+    assert got == [(1, 3, "1991-03-01")]
+
+
 PEOPLE = [
     ("r", "Ann Lee", "1+annl@users.noreply.github.com", 2020, 5), ("r", "annl", "ANNL@users.noreply.github.com", 2021, 7), ("r", "ann lee ", "ann@x.org", 2023, 2), ("r", "ci", "", 2020, 3),
     ("r", "ci", "ci@x.org", 2020, 4), ("r", "Bo Berg", "bo@x.org", 2021, 20), ("r", "web-flow", "noreply@github.com", 2022, 50), ("r", "Bo B", "bo@x.org", 2031, 99),

@@ -197,17 +197,23 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, few: int = 1 <<
     return alone.where("node is not null").distinct().join(label, "node", "full_outer").select("node", F.coalesce("label", "node").alias("label"))
 
 
+def alias_components(rows: DataFrame, node: str, alias: str) -> DataFrame:
+    """(node, label) of nodes whose identifiers meet; label is the smallest. Each alias is a star around its smallest node."""
+    rows = rows.select(F.col(node).alias("node"), F.col(alias).alias("tag")).where("node is not null")
+    tags = rows.where("tag is not null").distinct()
+    hubs = tags.groupBy("tag").agg(F.min("node").alias("dst"))
+    stars = tags.join(hubs, "tag").where("node <> dst").select(F.col("node").alias("src"), "dst")
+    return components(stars, rows.select("node"))
+
+
 def merge_aliases(rows: DataFrame, node: str, alias: str, at: str) -> DataFrame:
     """(label, ids, first) of rows whose identifiers meet: the smallest node, how many nodes, the earliest date.
 
-    Each alias is a star around its smallest node. Rows outside a window must be
-    filtered before: afterwards they would have connected others.
+    Rows outside a window must be filtered before: afterwards they would have
+    connected others.
     """
-    tags = rows.select(F.col(node).alias("node"), F.col(alias).alias("tag")).where("node is not null and tag is not null").distinct()
-    hubs = tags.groupBy("tag").agg(F.min("node").alias("dst"))
-    stars = tags.join(hubs, "tag").where("node <> dst").select(F.col("node").alias("src"), "dst")
     dates = rows.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min(at).alias("at"))
-    return components(stars, dates.select("node")).join(dates, "node").groupBy("label").agg(F.count("*").alias("ids"), F.min("at").alias("first"))
+    return alias_components(rows, node, alias).join(dates, "node").groupBy("label").agg(F.count("*").alias("ids"), F.min("at").alias("first"))
 
 
 def contract(edges: DataFrame, mapping: DataFrame) -> DataFrame:

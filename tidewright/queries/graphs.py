@@ -77,15 +77,16 @@ def edge_contraction(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey * 100000 + l_suppkey AS alias FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND year(o_orderdate) BETWEEN 1993 AND 1997),
+WITH RECURSIVE v AS (SELECT DISTINCT l_orderkey AS id, l_partkey * 100000 + l_suppkey AS alias FROM lineitem WHERE l_returnflag = 'R'),
 l AS (SELECT x.id AS src, y.id AS dst FROM v x JOIN v y ON x.alias = y.alias), r AS (SELECT id AS node, id AS seen FROM v UNION SELECT r.node, l.dst FROM r JOIN l ON l.src = r.seen), g AS (SELECT node, min(seen) AS canonical FROM r GROUP BY 1)
 SELECT canonical, count(*)::BIGINT AS ids, min(o_orderdate) AS published FROM g JOIN orders ON node = o_orderkey GROUP BY 1
 """)
 def vuln_alias_components(spark: SparkSession, d: str) -> DataFrame:
-    """Reports that share an identifier are one; those published outside the years are out before they can connect others."""
-    o = table(spark, d, "orders").where("year(o_orderdate) between 1993 and 1997").select(F.col("o_orderkey").alias("node"), "o_orderdate")
-    v = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("node"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("alias")).join(o, "node").distinct()
-    return G.merge_aliases(v, "node", "alias", "o_orderdate").select(F.col("label").alias("canonical"), "ids", F.col("first").alias("published"))
+    """Reports that share an identifier are one, whenever they were published; those without an order connect others and are not counted."""
+    v = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("node"), (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("alias"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), "o_orderdate")
+    found = G.alias_components(v, "node", "alias").join(o, "node")
+    return found.groupBy(F.col("label").alias("canonical")).agg(F.count("*").alias("ids"), F.min("o_orderdate").alias("published"))
 
 
 @query("SELECT c_custkey, bool_or(c_acctbal > 9900) OVER (PARTITION BY c_nationkey) AS intent FROM customer")
