@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -291,6 +292,16 @@ def test_subword_columns(spark):
     assert {r["n_tokens"] for r in rows if r["n_bytes"] == 0} == {0}
 
 
+def test_subword_memory_stays_bounded_over_many_different_words():
+    encoder = subword.Encoder(subword.load_vocabulary(), 0.1, 3)
+    tracemalloc.start()
+    for n in range(5):
+        encoder.encode_many([" ".join(hashlib.md5(b"%d" % i).hexdigest()[:7] for i in range(n * 30_000, n * 30_000 + 30_000))])
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 15e6
+
+
 def test_lattice_sums_all_segmentations():
     pieces = [b" ", b"a", b"b", b" a", b"ab", b" ab", b"ba"]
     logp = np.log(np.array([0.1, 0.2, 0.1, 0.2, 0.15, 0.05, 0.2]))

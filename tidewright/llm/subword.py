@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import mix64, ship, tidy
+from tidewright.llm.common import mix64, ship, spans_of, tidy, utf8_view
 
 #: The vocabulary's mark for a space; in texts of its own it is spelt with byte pieces, so that decoding is exact.
 MARK = "▁"
@@ -33,7 +33,7 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNIT = re.compile(r" *[^ ]+| +")
 _MASK = (1 << 64) - 1
 _BY_NUMBER, _BY_PLACE, _BY_PIECE, _FINAL = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
-NEVER, AT_ONCE = 1 << 30, 4096
+NEVER, AT_ONCE, BLOCK = 1 << 30, 4096, 1 << 18
 
 
 def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -78,7 +78,7 @@ def load_vocabulary(path: str = DEFAULT_MODEL) -> Vocabulary:
 class Encoder:
     """Encodes texts; units of up to `remember` characters are kept with their merges without dropout, a bounded number of them."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = 0.1, seed: int = 0, remember: int = 64, entries: int = 400_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float = 0.1, seed: int = 0, remember: int = 64, entries: int = 100_000) -> None:
         self.v = vocabulary
         self.limit = int(dropout * 2**32)
         self.seed = np.uint64(int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest(), "little"))
@@ -221,7 +221,7 @@ class Encoder:
                     out.extend(self.v.bytes_at + b for b in (MARK if s == "\ud800" else s).encode())
         return tuple(out)
 
-    def encode_many(self, texts: list[str], block: int = 1 << 20) -> list[list[int]]:
+    def encode_many(self, texts: list[str], block: int = BLOCK) -> list[list[int]]:
         """Ids of whole texts, a block of about so many characters at a time; an empty one has none."""
         out, part, size = [], [], 0
         for t in texts:
@@ -317,8 +317,9 @@ def encode_texts(docs: DataFrame, model_path: str = DEFAULT_MODEL, dropout: floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared(), dropout, seed)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            lengths = np.diff(utf8_view(batch.column("text"))[1])
+            for lo, hi in spans_of(lengths, BLOCK):  # by size: ids are Python numbers for a while, many times their text
+                part = batch.slice(lo, hi - lo)
                 sizes, ids, digests, exact = [], [], [], []
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 for t, got in zip(texts, encoder.encode_many(texts), strict=True):
