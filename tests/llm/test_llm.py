@@ -486,6 +486,42 @@ def test_chat_query(spark):
         assert got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def test_sketch_holds_little_beside_its_batch(spark, monkeypatch):
+    """A batch of 4 MB in one worker; with 2 MB at once it held 80 MB."""
+    import pyarrow as pa
+
+    runs = []
+    monkeypatch.setattr(near_dedup, "tidy", lambda run: runs.append(run) or run)
+    near_dedup.sketch(spark.createDataFrame([], "doc_id long, text string"), near_dedup.NearDup())
+    texts = [" ".join(hashlib.md5(b"%d" % i).hexdigest()[:7] for i in range(n * 400, n * 400 + 400)) for n in range(1250)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1250)), pa.array(texts), *[pa.array([0] * 1250)] * 2], ["doc_id", "text", "text_a", "text_b"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in runs[0](iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == 1250 and peak < 30e6
+
+
+def test_pipeline_stages_hand_python_small_batches(spark):
+    """17 MB of texts in one partition came as one batch."""
+    import corpus_pipeline
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = spark.range(0, 350, 1, 1).select(F.expr("repeat('words ', 8000)").alias("text"))
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(key)
+        stage(spark, table(spark, SF, "documents").where("false"), SF)
+        n = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+        assert sum(n) > 16e6 and max(n) < 5e6, name
+    spark.conf.set(key, before)
+
+
 def test_pipeline_equals_plain_stages(spark):
     """What toxicity keeps, then brute-force versions of every later stage."""
     import corpus_pipeline

@@ -39,6 +39,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: str = "4m") -> None:
+    """From now on the session hands rows to Python in batches of about `limit`, whatever their length.
+
+    By default a batch has up to 10,000 rows, which are tens of MB of texts; a worker
+    holds them going in and coming out, and so does its executor's JVM beside its
+    heap. It holds for the session because a DataFrame that is returned runs later.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", limit)
+
+
 def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value of bounded size; calling the result on an executor gives the value."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 from tidewright.llm.common import LOWER, Rolling, materialize, mix64, spans_of, tidy, utf8_view, word_bounds
 from tidewright.llm.components import connected_components
 
+#: Bytes of texts that are cut into shingles at once; the arrays for them take about 40 times as much.
+AT_ONCE = 1 << 19
+
 
 @dataclass(frozen=True)
 class NearDup:
@@ -157,7 +160,7 @@ def sketch(docs: DataFrame, p: NearDup) -> DataFrame:
         rolling = Rolling(p.seed)
         for batch in batches:
             data, off, _ = utf8_view(batch.column("text"))
-            for lo, hi in spans_of(np.diff(off), 2 << 20):
+            for lo, hi in spans_of(np.diff(off), AT_ONCE):
                 texts, hashes = shingle_hashes(data, off[lo : hi + 1], p.words, rolling)
                 elements, at = distinct_by_text(texts, hashes, hi - lo)
                 with np.errstate(over="ignore"):
